@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import slug
 from shelfmark.operators.keys import next_id, number_rows
 from shelfmark.schemas import FOREIGN_KEYS, UNIQUE_KEYS
+from shelfmark.session import pinned
 
 
 class Merge(NamedTuple):
@@ -150,23 +151,37 @@ def load_bridge(
     return _appended(existing, pairs.join(existing, ["quote_id", "tag_id"], "left_anti"))
 
 
+def _first_of_each_key(df: DataFrame, unique: Sequence[Sequence[str]], order: str) -> DataFrame:
+    winners = df
+    for key in unique:
+        firsts = df.groupBy(*key).agg(F.min(order).alias(order))
+        winners = winners.join(firsts, [*key, order], "left_semi")
+    return winners
+
+
 def insert_ignore(
     existing: DataFrame, incoming: DataFrame, unique: Sequence[Sequence[str]], order: str
 ) -> Merge:
-    """Insert rows that clash with no stored row on any unique key.
+    """Insert rows in ``order``; a row that clashes on any unique key is ignored.
 
-    Inside the batch rows go in by ``order`` and a row that clashes with one
-    already in is ignored, key after key.
+    The outcome is that of inserting one row after the other. With several keys
+    a row only blocks others when it got in itself, so winners are settled in
+    rounds: rows that come first on all their keys go in, rows that clash with
+    them drop out, the rest meets again. Key columns must not be NULL.
     """
     new = incoming
     for key in unique:
-        cols = list(key)
-        new = new.join(existing.select(*cols).distinct(), cols, "left_anti")
-    for key in unique:
-        cols = list(key)
-        winners = new.groupBy(*cols).agg(F.min(order).alias(order))
-        new = new.join(winners, [*cols, order], "left_semi")
-    return _appended(existing, new)
+        new = new.join(existing.select(*key), list(key), "left_anti")
+    if len(unique) == 1:
+        return _appended(existing, _first_of_each_key(new, unique, order))
+    accepted, rest = None, pinned(new)
+    while not rest.isEmpty():
+        winners = pinned(_first_of_each_key(rest, unique, order))
+        accepted = winners if accepted is None else accepted.unionByName(winners)
+        for key in unique:
+            rest = rest.join(winners.select(*key), list(key), "left_anti")
+        rest = pinned(rest)
+    return _appended(existing, accepted if accepted is not None else rest)
 
 
 def insert_into(existing: DataFrame, table: str, incoming: DataFrame, order: str) -> Merge:
