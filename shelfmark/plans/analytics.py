@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import excerpt
-from shelfmark.session import pinned
+from shelfmark.session import broadcast_if_small, pinned
 
 Tables = Mapping[str, DataFrame]
 
@@ -163,7 +163,7 @@ def _priced(t: Tables) -> DataFrame:
         F.col("rating").alias("note"),
     )
     names = t["dim_categories"].select("category_id", F.col("category_name").alias("categorie"))
-    return books.join(names, "category_id")
+    return books.join(broadcast_if_small(names), "category_id")
 
 
 def _price_columns(df: DataFrame) -> DataFrame:
@@ -261,7 +261,7 @@ def price_window_full(t: Tables) -> DataFrame:
     rows = pinned(
         priced.repartitionByRange(*order).withColumn("slice", F.spark_partition_id())
     )
-    # books and money per price level: rank and percentile depend on nothing else
+    # one row per (slice, category): what lies before each slice
     before = W.partitionBy("categorie").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     slices = rows.groupBy("categorie", "slice").agg(
         F.count("*").alias("c"), F.sum("prix").alias("s")
@@ -333,7 +333,7 @@ def top_per_category(t: Tables, n: int = 3) -> DataFrame:
     )
     return (
         books.alias("b")
-        .join(ranked.alias("r"), same)
+        .join(broadcast_if_small(ranked).alias("r"), same)
         .select(
             "b.book_id",
             F.col("r.category_name").alias("categorie"),
@@ -524,7 +524,7 @@ def opportunity_score(
     )
 
     def matches(name: str) -> Column:
-        return F.col(name).ilike(F.concat(F.col("prefixe"), F.lit("%")))
+        return F.ilike(F.col(name), F.concat(F.col("prefixe"), F.lit("%")))
 
     suggested = F.broadcast(prefixes).join(stats, matches("_stat_name"))
     category = names.select(F.col("category_name").alias("categorie"))
@@ -554,7 +554,10 @@ def opportunity_score(
     )
     groupe = F.when(F.col("specialite").isin(list(known)), F.col("specialite"))
     wanted = shops.select("librairie_id", "nom", "ville", "specialite", groupe.alias("_groupe"))
-    out = wanted.join(suggested, F.col("_groupe").eqNullSafe(F.col("groupe"))).select(
+    # few groups, many shops: shuffling on the group would leave most tasks idle
+    out = wanted.join(
+        broadcast_if_small(suggested), F.col("_groupe").eqNullSafe(F.col("groupe"))
+    ).select(
         "librairie_id",
         F.col("nom").alias("librairie"),
         "ville",
@@ -640,24 +643,33 @@ def geocoded_shops(t: Tables) -> DataFrame:
 
 def dashboard(t: Tables, short: bool = False) -> DataFrame:
     """One row of totals; each fact table is read once, ``short`` leaves the means out."""
-    books = t["fact_books"].agg(
-        F.count("*").alias("total_livres"),
-        F.countDistinct("category_id").alias("nb_categories"),
-        _mean(F.col("price_eur")).alias("prix_moyen_livres"),
-        _mean(F.col("rating")).alias("note_moyenne_livres"),
+    books = t["fact_books"].select(
+        F.struct(
+            F.count("*").alias("total_livres"),
+            F.countDistinct("category_id").alias("nb_categories"),
+            _mean(F.col("price_eur")).alias("prix_moyen_livres"),
+            _mean(F.col("rating")).alias("note_moyenne_livres"),
+        )
     )
-    quotes = t["fact_quotes"].agg(
-        F.count("*").alias("total_citations"), F.countDistinct("author_id").alias("nb_auteurs")
+    quotes = t["fact_quotes"].select(
+        F.struct(
+            F.count("*").alias("total_citations"), F.countDistinct("author_id").alias("nb_auteurs")
+        )
+    )
+    shops = t["dim_librairies"].select(F.struct(F.count("*").alias("total_librairies")))
+    row = t["fact_books"].sparkSession.range(1).select(
+        books.scalar().alias("b"), quotes.scalar().alias("q"), shops.scalar().alias("s")
     )
-    shops = t["dim_librairies"].agg(F.count("*").alias("total_librairies"))
-    one = F.lit(1).alias("_one")
-    row = (
-        books.select("*", one)
-        .join(quotes.select("*", one), "_one")
-        .join(shops.select("*", one), "_one")
+    columns = [
+        "b.total_livres",
+        "q.total_citations",
+        "s.total_librairies",
+        "b.nb_categories",
+        "q.nb_auteurs",
+    ]
+    return row.select(
+        *columns, *([] if short else ["b.prix_moyen_livres", "b.note_moyenne_livres"])
     )
-    columns = ["total_livres", "total_citations", "total_librairies", "nb_categories", "nb_auteurs"]
-    return row.select(*columns, *([] if short else ["prix_moyen_livres", "note_moyenne_livres"]))
 
 
 def dq_report(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings every plan in this package relies on. Sizes (shuffle
 # partitions, memory, broadcast threshold) stay with the cluster.
@@ -59,3 +60,24 @@ def pinned(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# rows a derived dimension may have to be shipped whole to every executor
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when its size is known to be small.
+
+    A frame Catalyst already estimates below the broadcast threshold is left to
+    Catalyst. Otherwise (typically an aggregate over a large table, whose size
+    Catalyst cannot guess) the rows are pinned and counted; above ``max_rows``
+    they come back unmarked and the join shuffles.
+    """
+    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold))
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate <= limit:
+        return df
+    rows = pinned(df)
+    return F.broadcast(rows) if rows.count() <= max_rows else rows

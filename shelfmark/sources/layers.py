@@ -103,8 +103,10 @@ def append_layer(
     return path
 
 
-def rewrite_batches(kept: DataFrame, path: str, touched: Iterable[str]) -> None:
-    """Replace only the ``touched`` batches of a stored collection by their kept rows.
+def rewrite_batches(
+    kept: DataFrame, path: str, touched: Iterable[str], partition: str = "batch_id"
+) -> None:
+    """Replace only the ``touched`` batches of a stored table by their kept rows.
 
     ``kept`` may read ``path`` itself: the rows are first written beside it, so a
     failure half-way never loses data. Batches left without rows are removed.
@@ -114,44 +116,48 @@ def rewrite_batches(kept: DataFrame, path: str, touched: Iterable[str]) -> None:
     if not touched:
         return
     staging = f"{path.rstrip('/')}_staging_{uuid.uuid4().hex[:8]}"
-    rows = kept.filter(F.col("batch_id").isin(touched))
-    rows.write.partitionBy("batch_id").parquet(staging)
-    staged = spark.read.schema(kept.schema).parquet(staging)
-    staged.write.partitionBy("batch_id").mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
-    survivors = {n.removeprefix("batch_id=") for n in child_folders(spark, staging)}
+    kept.filter(F.col(partition).isin(touched)).write.partitionBy(partition).parquet(staging)
+    survivors = {n.removeprefix(f"{partition}=") for n in child_folders(spark, staging)}
+    if survivors:
+        staged = spark.read.schema(kept.schema).parquet(staging)
+        staged.write.partitionBy(partition).mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).parquet(path)
     for batch in touched:
         if batch not in survivors:
-            fs, gone = _fs(spark, f"{path}/batch_id={batch}")
+            fs, gone = _fs(spark, f"{path}/{partition}={batch}")
             fs.delete(gone, True)
     fs, stage_path = _fs(spark, staging)
     fs.delete(stage_path, True)
 
 
-def write_gold(df: DataFrame, root: str, table: str, mode: str = "append") -> str:
-    path = layer_path(root, GOLD, table)
-    df.write.mode(mode).parquet(path)
-    return path
-
+def write_gold(df: DataFrame, root: str, table: str, batch_id: str, append: bool = False) -> str:
+    """Store the rows one batch adds to a Gold table, in a folder of their own.
 
-def replace_gold(df: DataFrame, root: str, table: str) -> str:
-    """Swap in a new version of a Gold table that may be computed from the old one."""
+    A repeated batch replaces its own rows, so a load cut half-way can simply
+    run again. ``append`` keeps them (dimensions, which only gain members).
+    """
     path = layer_path(root, GOLD, table)
-    spark = df.sparkSession
-    staging = f"{path}_staging_{uuid.uuid4().hex[:8]}"
-    df.write.parquet(staging)
-    spark.read.schema(df.schema).parquet(staging).write.mode("overwrite").parquet(path)
-    fs, stage_path = _fs(spark, staging)
-    fs.delete(stage_path, True)
+    writer = df.withColumn("load_batch", F.lit(batch_id)).write.partitionBy("load_batch")
+    if append:
+        writer.mode("append").parquet(path)
+    else:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return path
 
 
-def read_gold(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
+def read_gold(
+    spark: SparkSession, root: str, table: str, schema: str, without_batch: str | None = None
+) -> DataFrame:
+    """A Gold table; ``without_batch`` leaves out what that batch has loaded before."""
     path = layer_path(root, GOLD, table)
+    full = f"{schema}, load_batch string"
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    df = spark.read.schema(full).parquet(path)
+    if without_batch is not None:
+        df = df.filter(F.col("load_batch") != without_batch)
+    return df.drop("load_batch")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **options: str) -> None:
