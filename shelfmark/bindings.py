@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.fields import MONEY, convert
 from shelfmark.functions.text import slug, stable_key
+from shelfmark.operators.merge import refresh_counter
+from shelfmark.session import literal_rows
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -34,7 +36,7 @@ def every(column: str, n: int) -> Column:
 
 def dim_categories(part: DataFrame) -> DataFrame:
     """Part types, and one category no book belongs to."""
-    empty = part.sparkSession.createDataFrame([("UNUSED",)], "category_name string")
+    empty = literal_rows(part.sparkSession, [("UNUSED",)], "category_name string")
     names = part.select(F.col("p_type").alias("category_name")).distinct().unionByName(empty)
     return names.select(
         stable_key(F.col("category_name")).alias("category_id"),
@@ -89,8 +91,6 @@ def dim_authors(customer: DataFrame) -> DataFrame:
 
 def counted_authors(customer: DataFrame, orders: DataFrame) -> DataFrame:
     """Authors with their stored counter."""
-    from shelfmark.operators.merge import refresh_counter
-
     return refresh_counter(dim_authors(customer), fact_quotes(orders), "author_id", "quote_count")
 
 

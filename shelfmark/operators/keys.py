@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfmark.session import pinned
 
@@ -33,10 +32,7 @@ def number_rows(
     for r in sorted(counts, key=lambda r: r["_part"]):
         offsets.append((r["_part"], total))
         total += r["count"]
-    schema = T.StructType(
-        [T.StructField("_part", T.LongType()), T.StructField("_offset", T.LongType())]
-    )
-    table = spark.createDataFrame(offsets, schema)
+    table = spark.createDataFrame(offsets, "_part bigint, _offset bigint")
     first = start if isinstance(start, Column) else F.lit(start)
     local = F.col("_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import excerpt
-from shelfmark.session import broadcast_if_small, pinned
+from shelfmark.session import broadcast_if_small, literal_rows, pinned
 
 Tables = Mapping[str, DataFrame]
 
@@ -498,7 +498,7 @@ def opportunity_score(
     spark = shops.sparkSession
     known = dict(mapping)
     entries = [(s, p) for s, ps in known.items() for p in ps] + [(None, p) for p in default]
-    prefixes = spark.createDataFrame(entries, "groupe string, prefixe string")
+    prefixes = literal_rows(spark, entries, "groupe string, prefixe string")
 
     books = t["fact_books"].groupBy("category_id").agg(
         F.count("*").alias("nb_livres"),

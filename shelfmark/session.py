@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Runtime settings every plan in this package relies on. Sizes (shuffle
 # partitions, memory, broadcast threshold) stay with the cluster.
@@ -62,6 +63,16 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few constant rows as a plan of known size (an RDD of rows has none)."""
+    fields = T._parse_datatype_string(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 # rows a derived dimension may have to be shipped whole to every executor
 BROADCAST_ROWS = 200_000
 

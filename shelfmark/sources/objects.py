@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.session import literal_rows
+
 # fixed values: default folder names under a storage root
 IMAGES, EXPORTS, BACKUPS = "images", "exports", "backups"
 
@@ -50,7 +52,7 @@ def storage_stats(
     listed = reduce(
         DataFrame.unionByName, [list_objects(spark, root, bucket) for bucket in buckets]
     )
-    names = spark.createDataFrame([(b,) for b in buckets], "bucket string")
+    names = literal_rows(spark, [(b,) for b in buckets], "bucket string")
     counted = listed.groupBy("bucket").agg(
         F.count("*").alias("n_objects"), F.sum("size").alias("n_bytes")
     )
