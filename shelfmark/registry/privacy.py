@@ -191,16 +191,13 @@ def _erasure(spark: SparkSession, sf_dir: str) -> p.Erasure:
     """Every supplier number asks for the removal of up to three partner contacts."""
     silver, bronze = _imported(spark, sf_dir)
     key = F.col("s_suppkey")
+    asked = {
+        "email": F.concat(F.lit("contact"), key, F.lit("@mail.example.org")),
+        "telephone": F.concat(F.lit("1"), F.lpad(((key + 500) % 100000000).cast("string"), 8, "0")),
+        "nom": F.concat(F.lit("Ana building  B"), key + 700),
+    }
     kinds = F.array(
-        F.struct(
-            F.lit("email").alias("t"),
-            F.concat(F.lit("contact"), key, F.lit("@mail.example.org")).alias("i"),
-        ),
-        F.struct(
-            F.lit("telephone"),
-            F.concat(F.lit("1"), F.lpad(((key + 500) % 100000000).cast("string"), 8, "0")),
-        ),
-        F.struct(F.lit("nom"), F.concat(F.lit("Ana building  B"), key + 700)),
+        *[F.struct(F.lit(kind).alias("t"), value.alias("i")) for kind, value in asked.items()]
     )
     requests = (
         b.table(spark, sf_dir, "supplier")
