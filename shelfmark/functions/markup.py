@@ -1,23 +1,42 @@
-"""Records, text and links out of HTML strings, as native regular expressions.
+"""Records, text and links out of HTML strings, as native expressions.
 
-Elements are matched up to their first closing tag, so a selected element must
-not contain another of the same name before the fields that are read from it.
-Scripts, styles and comments are removed first (:func:`without_scripts`).
+The functions take and return SQL text (a column name is the simplest one), to
+be wrapped in ``F.expr`` at the end: nested extractions then cost one call to
+the JVM instead of hundreds. Elements are matched up to their first closing tag,
+so a selected element must not contain another of the same name before the
+fields that are read from it. Remove scripts first (:func:`without_scripts`).
 """
 
 from __future__ import annotations
 
-import json
-from html.entities import html5
+import itertools
+from html.entities import html5, name2codepoint
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from shelfmark.functions.text import WHITESPACE
 
-from shelfmark.functions.text import blank_to_null, slug, strip
+_ENTITY_RE = "&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+_SCHEME_RE = "^[A-Za-z][A-Za-z0-9+.-]*:"
+_ORIGIN_RE = "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+_fresh = itertools.count()
 
-_ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
-_ENTITY_RE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
-_SCHEME_RE = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+
+def quoted(text: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def let(value: str, body) -> str:
+    """``body(name)`` with ``value`` computed once, however often ``body`` uses the name."""
+    name = f"v{next(_fresh)}"
+    return f"transform(array({value}), {name} -> {body(name)})[0]"
+
+
+def strip(x: str) -> str:
+    return f"btrim({x}, {quoted(WHITESPACE)})"
+
+
+def or_text(x: str, default: str) -> str:
+    return f"coalesce({x}, {quoted(default)})"
 
 
 def open_tag(tag: str, css_class: str | None = None) -> str:
@@ -30,129 +49,175 @@ def open_tag(tag: str, css_class: str | None = None) -> str:
 
 def element(tag: str, css_class: str | None = None) -> str:
     """Regular expression of an element; group 1 is its inner markup."""
-    return rf"(?is){open_tag(tag, css_class)}(.*?)</{tag}\s*>"
+    body = rf"(?:[^<]++|<(?!/{tag}\s*>))*+"
+    return rf"(?is){open_tag(tag, css_class)}({body})</{tag}\s*>"
 
 
-def without_scripts(html: Column) -> Column:
-    return F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->", "")
+def without_scripts(html: str) -> str:
+    # one leading "<" for all alternatives: most positions fail on the first character
+    pattern = r"(?is)<(?:(script|style)\b[^>]*>.*?</\1\s*>|!--.*?-->)"
+    return f"regexp_replace({html}, {quoted(pattern)}, '')"
 
 
-def blocks(html: Column, tag: str, css_class: str | None = None) -> Column:
+def blocks(html: str, tag: str, css_class: str | None = None) -> str:
     """Inner markup of every matching element, in document order."""
-    return F.regexp_extract_all(html, F.lit(element(tag, css_class)), F.lit(1))
+    return f"regexp_extract_all({html}, {quoted(element(tag, css_class))}, 1)"
 
 
-def inner(html: Column, tag: str, css_class: str | None = None) -> Column:
+def inner(html: str, tag: str, css_class: str | None = None) -> str:
     """Inner markup of the first matching element; NULL when there is none."""
-    return F.get(blocks(html, tag, css_class), F.lit(0))
+    return f"get({blocks(html, tag, css_class)}, 0)"
 
 
-def attribute(html: Column, tag: str, name: str, css_class: str | None = None) -> Column:
+def attribute(html: str, tag: str, name: str, css_class: str | None = None) -> str:
     """Attribute of the first matching start tag; NULL when absent or empty."""
-    start = F.regexp_extract(html, "(?is)" + open_tag(tag, css_class), 0)
-    value = F.regexp_extract(start, rf"""(?is)\s{name}\s*=\s*(["'])(.*?)\1""", 2)
-    return blank_to_null(decode_entities(value))
+    start = f"regexp_extract({html}, {quoted('(?is)' + open_tag(tag, css_class))}, 0)"
+    pattern = quoted(rf"""(?is)\s{name}\s*=\s*(["'])(.*?)\1""")
+    return f"nullif({decode_entities(f'regexp_extract({start}, {pattern}, 2)')}, '')"
 
 
-def decode_entities(col: Column) -> Column:
-    """Replace named and numeric character references in one pass."""
-    names = F.from_json(F.lit(json.dumps(_ENTITIES)), "map<string,string>")
-
-    def utf32(code: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-
-    def decoded(ref: Column) -> Column:
-        hexa = F.conv(F.regexp_extract(ref, "^#[xX]([0-9a-fA-F]{1,6})$", 1), 16, 10)
-        number = F.coalesce(
-            F.regexp_extract(ref, "^#([0-9]{1,7})$", 1).try_cast("bigint"),
-            hexa.try_cast("bigint"),
-        )
-        valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        return F.coalesce(
-            F.when(valid, utf32(number)),
-            F.try_element_at(names, ref),
-            F.concat(F.lit("&"), ref, F.lit(";")),
-        )
-
-    refs = F.regexp_extract_all(col, F.lit(_ENTITY_RE), F.lit(1))
-    parts = F.split(col, _ENTITY_RE, -1)
-    joined = F.zip_with(
-        parts,
-        F.transform(refs, decoded),
-        lambda part, ref: F.concat(part, F.coalesce(ref, F.lit(""))),
+_HTML4 = {n: chr(code) for n, code in name2codepoint.items() if html5.get(f"{n};") == chr(code)}
+
+
+def _entity_map() -> str:
+    """Character names of HTML 4 by first letter: a literal map is searched entry by entry."""
+    shelves: dict[str, list[str]] = {}
+    for name, text in sorted(_HTML4.items()):
+        shelves.setdefault(name[0], []).append(f"{quoted(name)}, {quoted(text)}")
+    return "map(" + ", ".join(f"'{k}', map({', '.join(v)})" for k, v in shelves.items()) + ")"
+
+
+# The other named references, rare in pages, as one text "\x01name\x02text" after
+# another: slower to search than a map, but a long text costs nothing to plan.
+_RARE = (
+    "".join(
+        f"\x01{name[:-1]}\x02{text}"
+        for name, text in html5.items()
+        if name.endswith(";") and name[:-1] not in _HTML4
     )
-    return F.when(F.contains(col, F.lit("&")), F.array_join(joined, "")).otherwise(col)
+    + "\x01"
+)
 
 
-def text_content(html: Column) -> Column:
-    """Concatenated text nodes: scripts, comments and tags removed, entities decoded."""
-    return decode_entities(F.regexp_replace(without_scripts(html), r"(?s)<[^>]*>", ""))
+def _rare_reference(ref: str) -> str:
+    after = f"substring_index({quoted(_RARE)}, concat('\x01', {ref}, '\x02'), -1)"
+    # the text itself starts with a separator, so an unknown name leaves nothing
+    return f"nullif(substring_index({after}, '\x01', 1), '')"
 
 
-# ---------------------------------------------------------------- links
+# fixed values: the references nearly every page is made of
+_COMMON_ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\xa0"}
+
+
+def _reference(ref: str) -> str:
+    """The text a character reference stands for; an unknown one stays as written."""
+    common = " ".join(f"when '{n}' then {quoted(t)}" for n, t in _COMMON_ENTITIES.items())
+    digits = f"try_cast(regexp_extract({ref}, '^#([0-9]{{1,7}})$', 1) as bigint)"
+    hexa = f"conv(regexp_extract({ref}, '^#[xX]([0-9a-fA-F]{{1,6}})$', 1), 16, 10)"
+    numeric = let(
+        f"coalesce({digits}, try_cast({hexa} as bigint))",
+        lambda n: f"case when {n} > 0 and {n} <= 1114111 and not {n} between 55296 and 57343 "
+        f"then decode(unhex(lpad(hex({n}), 8, '0')), 'UTF-32') end",
+    )
+    named = (
+        f"coalesce(try_element_at(try_element_at({_ENTITIES}, left({ref}, 1)), {ref}), "
+        f"{_rare_reference(ref)})"
+    )
+    return (
+        f"case {ref} {common} else coalesce(case when startswith({ref}, '#') then {numeric} "
+        f"else {named} end, concat('&', {ref}, ';')) end"
+    )
+
+
+_ENTITIES = _entity_map()
+_REFERENCE = _reference("ref")
+
+
+def decode_entities(text: str) -> str:
+    """Replace named and numeric character references in one pass."""
+
+    def decoded(t: str) -> str:
+        pattern = quoted(_ENTITY_RE)
+        refs = f"transform(regexp_extract_all({t}, {pattern}, 1), ref -> {_REFERENCE})"
+        joined = f"zip_with(split({t}, {pattern}, -1), {refs}, (p, r) -> concat(p, coalesce(r, '')))"
+        return f"case when contains({t}, '&') then array_join({joined}, '') else {t} end"
+
+    return let(text, decoded)
+
 
+def plain_text(part: str) -> str:
+    """Text nodes of script-free markup: tags removed, entities decoded."""
+    return decode_entities(f"regexp_replace({part}, '<[^>]*>', '')")
 
-def url_origin(url: Column) -> Column:
-    return F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
 
+def text_content(html: str) -> str:
+    """Text nodes of a whole page; scripts, styles and comments do not count as text."""
+    return plain_text(without_scripts(html))
 
-def _resolve_dots(path: Column) -> Column:
-    def step(acc: Column, seg: Column) -> Column:
-        return (
-            F.when(seg == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1))))
-            .when(seg == ".", acc)
-            .otherwise(F.concat(acc, F.array(seg)))
-        )
 
+# ---------------------------------------------------------------- links
+
+
+def _resolve_dots(path: str) -> str:
+    """``.`` and ``..`` steps worked off, never above the root."""
     # a path ends in a slash when its last segment is a dot segment
-    ending = F.when(path.rlike(r"(^|/)\.{1,2}$"), F.concat(path, F.lit("/"))).otherwise(path)
+    ending = f"case when {path} rlike {quoted(r'(^|/)[.]{1,2}$')} then concat({path}, '/') else {path} end"
+    step = (
+        "(acc, seg) -> case when seg = '..' then slice(acc, 1, greatest(size(acc) - 1, 1)) "
+        "when seg = '.' then acc else concat(acc, array(seg)) end"
+    )
     # the first segment is the empty string before the leading slash and stays
-    segs = F.split(ending, "/", -1)
-    kept = F.aggregate(
-        F.slice(segs, F.lit(2), F.size(segs)), F.array(F.lit("")), step
+    kept = let(
+        f"split({ending}, '/', -1)",
+        lambda segs: f"aggregate(slice({segs}, 2, size({segs})), array(''), {step})",
     )
-    return F.array_join(kept, "/")
+    return f"array_join({kept}, '/')"
 
 
-def join_url(base: Column, href: Column) -> Column:
+def join_url(base: str, href: str) -> str:
     """Resolve ``href`` against the page address ``base``."""
-    origin = url_origin(base)
-    base_path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    folder = F.regexp_replace(base_path, r"[^/]*$", "")
-    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    path = F.regexp_extract(href, r"^[^?#]*", 0)
-    tail = F.substr(href, F.length(path) + 1)
-    full = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
-    no_fragment = F.regexp_replace(base, r"#.*$", "")
+    return let(base, lambda b: let(href, lambda h: _joined(b, h)))
+
+
+def _joined(base: str, href: str) -> str:
+    path_re = quoted("^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)")
+    folder = f"regexp_replace(regexp_extract({base}, {path_re}, 1), '[^/]*$', '')"
+    path = f"regexp_extract({href}, '^[^?#]*', 0)"
+    full = let(
+        path,
+        lambda p: f"case when startswith({p}, '/') then {p} "
+        f"else concat(coalesce(nullif({folder}, ''), '/'), {p}) end",
+    )
+    tail = f"substr({href}, length({path}) + 1)"
     return (
-        F.when(href.isNull(), F.lit(None).cast("string"))
-        .when(href.rlike(_SCHEME_RE), href)
-        .when(
-            href.startswith("//"),
-            F.concat(F.regexp_extract(base, r"^([^:]+:)", 1), href),
-        )
-        .when(href == "", base)
-        .when(href.startswith("#"), F.concat(no_fragment, href))
-        .when(
-            href.startswith("?"), F.concat(F.regexp_replace(base, r"[?#].*$", ""), href)
-        )
-        .otherwise(F.concat(origin, _resolve_dots(full), tail))
+        f"case when {href} is null then null when {href} rlike {quoted(_SCHEME_RE)} then {href} "
+        f"when startswith({href}, '//') then concat(regexp_extract({base}, '^([^:]+:)', 1), {href}) "
+        f"when {href} = '' then {base} "
+        f"when startswith({href}, '#') then concat(regexp_replace({base}, '#.*$', ''), {href}) "
+        f"when startswith({href}, '?') then concat(regexp_replace({base}, '[?#].*$', ''), {href}) "
+        f"else concat(regexp_extract({base}, {quoted(_ORIGIN_RE)}, 1), "
+        f"{let(full, _resolve_dots)}, {tail}) end"
     )
 
 
-def rooted_url(root: str, href: Column) -> Column:
+def rooted_url(root: str, href: str) -> str:
     """Drop ``../`` steps and prefix the site root; an absolute address is kept."""
-    return F.when(href.startswith("http"), href).otherwise(
-        F.concat(F.lit(root.rstrip("/") + "/"), F.replace(href, F.lit("../"), F.lit("")))
+    prefix = quoted(root.rstrip("/") + "/")
+    return let(
+        href,
+        lambda h: f"case when startswith({h}, 'http') then {h} "
+        f"else concat({prefix}, replace({h}, '../', '')) end",
     )
 
 
-def sibling_url(page_url: Column, href: Column) -> Column:
+def sibling_url(page_url: str, href: str) -> str:
     """``href`` put beside the current page, without resolving dot segments."""
-    return F.concat(F.regexp_replace(page_url, r"/[^/]*$", ""), F.lit("/"), href)
+    return f"concat(regexp_replace({page_url}, '/[^/]*$', ''), '/', {href})"
 
 
-def menu_slug(name: Column, href: Column) -> Column:
+def menu_slug(name: str, href: str) -> str:
     """Second last path segment, else the slug of the link text."""
-    folder = F.try_element_at(F.split(href, "/", -1), F.lit(-2))
-    return F.when(href.contains("/"), folder).otherwise(slug(strip(name)))
+    return (
+        f"case when contains({href}, '/') then try_element_at(split({href}, '/', -1), -2) "
+        f"else replace(lower({strip(name)}), ' ', '-') end"
+    )

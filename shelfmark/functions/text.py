@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +20,11 @@ UNKNOWN_AUTHOR = "Unknown"
 DEFAULT_CATEGORY = "Uncategorized"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     """Trim every Unicode white-space character (``trim`` alone only knows U+0020)."""
     return F.btrim(col, F.lit(WHITESPACE))
@@ -38,16 +47,20 @@ def title_case(col: Column) -> Column:
     return F.array_join(cased, "")
 
 
-def _char_class(chars: str) -> str:
-    return "[" + "".join("\\" + c if c in r"\]^-[" else c for c in chars) + "]"
-
-
 def strip_quotes(
     col: Column, opening: str = OPENING_QUOTES, closing: str = CLOSING_QUOTES
 ) -> Column:
     """Strip, drop at most one decorative character at each end, strip again."""
-    bare = F.regexp_replace(strip(col), r"\A" + _char_class(opening), "")
-    return strip(F.regexp_replace(bare, _char_class(closing) + r"\z", ""))
+
+    def unquoted(text: Column) -> Column:
+        begins = reduce(or_, [text.startswith(c) for c in opening])
+        ends = reduce(or_, [text.endswith(c) for c in closing])
+        # a lone quote character counts once, as an opening one
+        first = F.when(begins, 2).otherwise(1)
+        dropped = F.when(begins, 1).otherwise(0) + F.when(ends, 1).otherwise(0)
+        return F.substr(text, first, F.greatest(F.length(text) - dropped, F.lit(0)))
+
+    return strip(let(strip(col), unquoted))
 
 
 def excerpt(col: Column, length: int = 80, ellipsis: str = "...") -> Column:

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions import fields, markup
+from shelfmark.functions import fields
+from shelfmark.functions import markup as m
 from shelfmark.functions.text import UNKNOWN_AUTHOR, strip, strip_quotes
 from shelfmark.operators.splits import Split, split_on
 
@@ -19,23 +20,18 @@ def page_blocks(
     pages: DataFrame, tag: str, css_class: str | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per matching element: page_id, url, kept columns, position, block."""
-    clean = markup.without_scripts(F.col("html"))
-    return pages.select(
-        "page_id",
-        "url",
-        *keep,
-        F.posexplode(markup.blocks(clean, tag, css_class)).alias("position", "block"),
-    )
+    found = F.expr(m.blocks(m.without_scripts("html"), tag, css_class))
+    return pages.select("page_id", "url", *keep, F.posexplode(found).alias("position", "block"))
 
 
 def page_text(pages: DataFrame, tag: str | None = None) -> DataFrame:
     """Text content of the page, or of the first ``tag`` element in it."""
-    part = F.col("html") if tag is None else markup.inner(F.col("html"), tag)
-    return pages.select("page_id", markup.text_content(part).alias("text"))
+    part = "html" if tag is None else m.inner("html", tag)
+    return pages.select("page_id", F.expr(m.text_content(part)).alias("text"))
 
 
 def block_text(blocks: DataFrame) -> DataFrame:
-    return blocks.withColumn("text", strip(markup.text_content(F.col("block"))))
+    return blocks.withColumn("text", F.expr(m.strip(m.plain_text("block"))))
 
 
 def menu_links(
@@ -49,31 +45,33 @@ def menu_links(
     ``nested`` keeps only the links of a list inside the outer list. Links are
     resolved against the page, or appended to ``site_root`` when it is given.
     """
-    menu = markup.inner(markup.without_scripts(F.col("html")), *container)
+    menu = m.inner(m.without_scripts("html"), *container)
     if nested:
-        menu = F.regexp_extract(menu, r"(?is)<ul\b[^>]*>.*?<ul\b[^>]*>(.*?)</ul\s*>", 1)
-    links = F.regexp_extract_all(menu, F.lit(r"(?is)<li\b[^>]*>\s*(<a\b[^>]*>.*?</a\s*>)"), F.lit(1))
+        inner_list = r"(?is)<ul\b[^>]*>.*?<ul\b[^>]*>(.*?)</ul\s*>"
+        menu = f"regexp_extract({menu}, {m.quoted(inner_list)}, 1)"
+    link = r"(?is)<li\b[^>]*>\s*(<a\b[^>]*>.*?</a\s*>)"
+    links = F.expr(f"regexp_extract_all({menu}, {m.quoted(link)}, 1)")
     rows = pages.select(
         "page_id", F.col("url").alias("page_url"), F.posexplode(links).alias("position", "link")
     ).select(
         "page_id",
         "page_url",
         "position",
-        strip(markup.text_content(F.col("link"))).alias("name"),
-        F.coalesce(markup.attribute(F.col("link"), "a", "href"), F.lit("")).alias("href"),
+        F.expr(m.strip(m.plain_text("link"))).alias("name"),
+        F.expr(m.or_text(m.attribute("link", "a", "href"), "")).alias("href"),
     )
     url = (
-        markup.join_url(F.col("page_url"), F.col("href"))
+        m.join_url("page_url", "href")
         if site_root is None
-        else F.concat(F.lit(site_root.rstrip("/") + "/"), F.col("href"))
+        else f"concat({m.quoted(site_root.rstrip('/') + '/')}, href)"
     )
     return rows.select(
         "page_id",
         "position",
         "name",
         "href",
-        url.alias("url"),
-        markup.menu_slug(F.col("name"), F.col("href")).alias("slug"),
+        F.expr(url).alias("url"),
+        F.expr(m.menu_slug("name", "href")).alias("slug"),
     )
 
 
@@ -83,14 +81,14 @@ def next_page(pages: DataFrame, how: str = "resolve", site_root: str = "") -> Da
     ``resolve`` follows URL rules, ``sibling`` puts the link beside the page,
     ``root`` appends it to ``site_root``.
     """
-    link = markup.inner(markup.without_scripts(F.col("html")), "li", "next")
-    href = markup.attribute(link, "a", "href")
+    href = m.attribute(m.inner(m.without_scripts("html"), "li", "next"), "a", "href")
     target = {
-        "resolve": markup.join_url(F.col("url"), href),
-        "sibling": markup.sibling_url(F.col("url"), href),
-        "root": F.concat(F.lit(site_root.rstrip("/")), href),
+        "resolve": m.join_url("url", "href"),
+        "sibling": m.sibling_url("url", "href"),
+        "root": f"concat({m.quoted(site_root.rstrip('/'))}, href)",
     }[how]
-    return pages.select("page_id", "url", target.alias("next_url"))
+    found = pages.select("page_id", "url", F.expr(href).alias("href"))
+    return found.select("page_id", "url", F.expr(target).alias("next_url"))
 
 
 # ---------------------------------------------------------------- books
@@ -108,26 +106,32 @@ def _stamp(source: str, batch_id: str) -> Column:
 def book_cards(pages: DataFrame, *, site_root: str, source: str, batch_id: str) -> Split:
     """Bronze books from listing pages (page_id, url, category, html)."""
     cards = page_blocks(pages, "article", "product_pod", keep=("category",))
-    heading = markup.inner(F.col("block"), "h3")
-    shown = strip(markup.text_content(markup.inner(heading, "a")))
-    price = markup.inner(F.col("block"), "p", "price_color")
-    stock = markup.inner(F.col("block"), "p", "availability")
-    image = F.coalesce(markup.attribute(F.col("block"), "img", "src", "thumbnail"), F.lit(""))
+    # raw field texts first: the second projection uses some of them more than once
+    found = cards.withColumn("heading", F.expr(m.inner("block", "h3"))).selectExpr(
+        "page_id",
+        "position",
+        "category",
+        f"""coalesce({m.attribute("heading", "a", "title")},
+                     {m.strip(m.plain_text(m.inner("heading", "a")))}) as title""",
+        f"{m.or_text(m.attribute('heading', 'a', 'href'), '')} as href",
+        f"{m.plain_text(m.inner('block', 'p', 'price_color'))} as price",
+        f"{m.attribute('block', 'p', 'class', 'star-rating')} as stars",
+        f"{m.plain_text(m.inner('block', 'p', 'availability'))} as stock",
+        f"{m.or_text(m.attribute('block', 'img', 'src', 'thumbnail'), '')} as image",
+    )
     root = site_root.rstrip("/")
-    rows = cards.select(
+    rows = found.select(
         "page_id",
         "position",
-        F.coalesce(markup.attribute(heading, "a", "title"), shown).alias("title"),
-        F.coalesce(fields.tidy_price(markup.text_content(price)), F.lit("N/A")).alias("price"),
-        fields.rating_from_class(markup.attribute(F.col("block"), "p", "class", "star-rating"))
-        .cast("string")
-        .alias("rating"),
-        fields.stock_from_text(markup.text_content(stock)).cast("string").alias("availability"),
+        "title",
+        F.coalesce(fields.tidy_price(F.col("price")), F.lit("N/A")).alias("price"),
+        fields.rating_from_class(F.col("stars")).cast("string").alias("rating"),
+        fields.stock_from_text(F.col("stock")).cast("string").alias("availability"),
         "category",
-        markup.rooted_url(
-            root + "/catalogue", F.coalesce(markup.attribute(heading, "a", "href"), F.lit(""))
-        ).alias("url"),
-        F.when(image == "", image).otherwise(markup.rooted_url(root, image)).alias("image_url"),
+        F.expr(m.rooted_url(root + "/catalogue", "href")).alias("url"),
+        F.when(F.col("image") == "", F.lit(""))
+        .otherwise(F.expr(m.rooted_url(root, "image")))
+        .alias("image_url"),
         _stamp(source, batch_id),
     )
     return split_on(
@@ -142,22 +146,26 @@ def book_cards(pages: DataFrame, *, site_root: str, source: str, batch_id: str)
 def book_cards_normalised(pages: DataFrame, *, site_root: str, batch_id: str) -> Split:
     """Books of the normalised variant: strict rating, boolean stock, numeric price."""
     cards = page_blocks(pages, "article", "product_pod", keep=("category",))
-    heading = markup.inner(F.col("block"), "h3")
-    price_box = markup.inner(F.col("block"), "div", "product_price")
-    price = markup.text_content(markup.inner(price_box, "p"))
-    stock = markup.text_content(markup.inner(F.col("block"), "p", "availability"))
-    rating_class = markup.attribute(F.col("block"), "p", "class", "star-rating")
-    rows = cards.select(
+    price_box = m.inner("block", "div", "product_price")
+    found = cards.selectExpr(
+        "page_id",
+        "position",
+        "category",
+        f"{m.attribute(m.inner('block', 'h3'), 'a', 'title')} as title",
+        f"{m.plain_text(m.inner(price_box, 'p'))} as price",
+        f"{m.attribute('block', 'p', 'class', 'star-rating')} as stars",
+        f"{m.plain_text(m.inner('block', 'p', 'availability'))} as stock",
+        f"{m.attribute('block', 'img', 'src')} as src",
+    )
+    rows = found.select(
         "page_id",
         "position",
-        markup.attribute(heading, "a", "title").alias("title"),
-        F.when(price.isNotNull(), fields.first_price(price)).alias("price"),
-        fields.rating_from_second_class(rating_class).alias("rating"),
-        F.when(stock.isNotNull(), fields.in_stock(stock)).alias("availability"),
+        "title",
+        F.when(F.col("price").isNotNull(), fields.first_price(F.col("price"))).alias("price"),
+        fields.rating_from_second_class(F.col("stars")).alias("rating"),
+        F.when(F.col("stock").isNotNull(), fields.in_stock(F.col("stock"))).alias("availability"),
         strip(F.col("category")).alias("category"),
-        markup.join_url(
-            F.lit(site_root), markup.attribute(F.col("block"), "img", "src")
-        ).alias("url_image"),
+        F.expr(m.join_url(m.quoted(site_root), "src")).alias("url_image"),
         F.lit(None).cast("binary").alias("image"),
     )
     missing = F.lit(None).cast("string")
@@ -175,27 +183,29 @@ def book_cards_normalised(pages: DataFrame, *, site_root: str, batch_id: str) ->
 # --------------------------------------------------------------- quotes
 
 
-def _tag_links(block: Column) -> Column:
-    return F.transform(markup.blocks(block, "a", "tag"), lambda t: strip(markup.text_content(t)))
-
-
 def quote_cards(
     pages: DataFrame, *, site_root: str, source: str, batch_id: str, strict: bool = False
 ) -> Split:
     """Bronze quotations. ``strict`` rejects a card without text or author."""
-    cards = page_blocks(pages, "div", "quote")
-    text = strip_quotes(markup.text_content(markup.inner(F.col("block"), "span", "text")))
-    author = strip(markup.text_content(markup.inner(F.col("block"), "small", "author")))
-    link = F.regexp_extract(
-        F.col("block"), r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*/author/[^"']*)["']""", 1
+    author_link = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*/author/[^"']*)["']"""
+    tag = m.strip(m.plain_text("tag"))
+    found = page_blocks(pages, "div", "quote").selectExpr(
+        "page_id",
+        "position",
+        f"{m.plain_text(m.inner('block', 'span', 'text'))} as text",
+        f"{m.strip(m.plain_text(m.inner('block', 'small', 'author')))} as author",
+        f"regexp_extract(block, {m.quoted(author_link)}, 1) as link",
+        f"transform({m.blocks('block', 'a', 'tag')}, tag -> {tag}) as tags",
     )
-    rows = cards.select(
+    rows = found.select(
         "page_id",
         "position",
-        text.alias("text"),
-        author.alias("author"),
-        F.when(link != "", F.concat(F.lit(site_root.rstrip("/")), link)).alias("author_url"),
-        _tag_links(F.col("block")).alias("tags"),
+        strip_quotes(F.col("text")).alias("text"),
+        "author",
+        F.when(F.col("link") != "", F.concat(F.lit(site_root.rstrip("/")), F.col("link"))).alias(
+            "author_url"
+        ),
+        "tags",
         _stamp(source, batch_id),
     )
     reason = F.lit(None).cast("string")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import bindings as b
-from shelfmark.functions import markup
+from shelfmark.functions import markup as m
 from shelfmark.operators import pages as pg
 from shelfmark.registry.base import query, sql_strip
 from shelfmark.registry.cleaning import BATCH
@@ -80,12 +80,11 @@ select page_id,
 from pages""",
 )
 def page_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    html = F.col("html")
-    return b.table(spark, sf_dir, "pages").select(
+    return b.table(spark, sf_dir, "pages").selectExpr(
         "page_id",
-        markup.text_content(markup.inner(html, "h1")).alias("heading"),
-        markup.text_content(markup.inner(html, "title")).alias("title"),
-        markup.attribute(html, "html", "lang").alias("lang"),
+        f"{m.text_content(m.inner('html', 'h1'))} as heading",
+        f"{m.text_content(m.inner('html', 'title'))} as title",
+        f"{m.attribute('html', 'html', 'lang')} as lang",
     )
 
 
@@ -111,16 +110,18 @@ select page_id, origin || folder || 'a.html' as beside, origin || '/a/b.html?c'
 from p""",
 )
 def resolved_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    url = F.col("url")
+    def joined(href: str) -> Column:
+        return F.expr(m.join_url("url", m.quoted(href)))
+
     return b.table(spark, sf_dir, "pages").select(
         "page_id",
-        markup.join_url(url, F.lit("./a.html")).alias("beside"),
-        markup.join_url(url, F.lit("/a/b.html?c")).alias("rooted"),
-        markup.join_url(url, F.lit("../x")).alias("above"),
-        markup.join_url(url, F.lit("//cdn.example.net/i.png")).alias("other_host"),
-        markup.join_url(url, F.lit("https://abs.example.net/z")).alias("absolute"),
-        markup.rooted_url(_ROOT, F.lit("../../media/i.jpg")).alias("site_root"),
-        markup.join_url(url, F.lit("?page=3")).alias("query_only"),
+        joined("./a.html").alias("beside"),
+        joined("/a/b.html?c").alias("rooted"),
+        joined("../x").alias("above"),
+        joined("//cdn.example.net/i.png").alias("other_host"),
+        joined("https://abs.example.net/z").alias("absolute"),
+        F.expr(m.rooted_url(_ROOT, m.quoted("../../media/i.jpg"))).alias("site_root"),
+        joined("?page=3").alias("query_only"),
     )
 
 
