@@ -154,7 +154,9 @@ def category_stats_all(t: Tables) -> DataFrame:
 
 # ------------------------------------------------------------------ prices
 
-_PRICE_ORDER = (F.desc_nulls_first("prix"), F.asc("book_id"))
+
+def _price_order() -> tuple[Column, Column]:
+    return F.desc_nulls_first("prix"), F.asc("book_id")
 
 
 def _priced(t: Tables) -> DataFrame:
@@ -200,7 +202,7 @@ def price_window(t: Tables, limit: int = 20) -> DataFrame:
     """
     priced = _priced(t)
     head = pinned(
-        priced.orderBy(F.asc_nulls_last("categorie"), *_PRICE_ORDER).limit(limit)
+        priced.orderBy(F.asc_nulls_last("categorie"), *_price_order()).limit(limit)
     )
     shown = head.select("categorie").distinct()
     levels = head.select("categorie", "prix").distinct()
@@ -226,7 +228,7 @@ def price_window(t: Tables, limit: int = 20) -> DataFrame:
     by_price = W.partitionBy("categorie").orderBy(F.desc_nulls_first("prix"))
     running = (
         W.partitionBy("categorie")
-        .orderBy(*_PRICE_ORDER)
+        .orderBy(*_price_order())
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     ranked = head.select(
@@ -257,7 +259,7 @@ def price_window_full(t: Tables) -> DataFrame:
     """
     priced = _priced(t)
     means = _category_means(priced)
-    order = [F.asc_nulls_last("categorie"), *_PRICE_ORDER]
+    order = [F.asc_nulls_last("categorie"), *_price_order()]
     rows = pinned(
         priced.repartitionByRange(*order).withColumn("slice", F.spark_partition_id())
     )
@@ -272,7 +274,7 @@ def price_window_full(t: Tables) -> DataFrame:
         F.coalesce(F.sum("c").over(before), F.lit(0)).alias("c0"),
         F.sum("s").over(before).alias("s0"),
     )
-    local = W.partitionBy("categorie", "slice").orderBy(*_PRICE_ORDER)
+    local = W.partitionBy("categorie", "slice").orderBy(*_price_order())
     running = local.rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = (
         rows.select(

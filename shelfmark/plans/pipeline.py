@@ -93,9 +93,16 @@ class Run:
     def _gold(self, table: str) -> DataFrame:
         return read_gold(self.spark, self.s.root, table, schemas.GOLD[table])
 
+    def _count_loaded(self, entity: str, table: str) -> None:
+        """Rows this batch has put in a fact table, counted in its own folder."""
+        stored = read_gold(
+            self.spark, self.s.root, table, schemas.GOLD[table], only_batch=self.batch_id
+        )
+        self._count(entity, "loaded", stored)
+
     def _earlier(self, table: str) -> DataFrame:
         """Facts of the other batches: a repeated batch replaces its own."""
-        return read_gold(self.spark, self.s.root, table, schemas.GOLD[table], self.batch_id)
+        return read_gold(self.spark, self.s.root, table, schemas.GOLD[table], without_batch=self.batch_id)
 
     # -- extract
 
@@ -160,7 +167,7 @@ class Run:
             numbered = geocode.enrich(numbered, results)
         # anonymised rows wait beside Bronze for the transform stage
         self._store(numbered.drop("_metadata"), SILVER, "anonymised_librairies")
-        self._count("librairies", "extracted", split.good)
+        self._count("librairies", "extracted", self._read(BRONZE, "raw_librairies", schemas.RAW_SHOPS))
 
     # -- transform
 
@@ -245,7 +252,7 @@ def load_books(run: Run, books: DataFrame) -> None:
     )
     loaded = merge.load_books(run._earlier("fact_books"), good, run._gold("dim_categories"))
     _add_facts(run, "fact_books", loaded.inserted)
-    run._count("books", "loaded", loaded.inserted)
+    run._count_loaded("books", "fact_books")
 
 
 def load_quotes(run: Run, quotes: DataFrame) -> None:
@@ -259,13 +266,13 @@ def load_quotes(run: Run, quotes: DataFrame) -> None:
     ).inserted
     _add_facts(run, "fact_quotes", inserted)
     _add_facts(run, "quote_tags", pairs)
-    run._count("quotes", "loaded", inserted)
+    run._count_loaded("quotes", "fact_quotes")
 
 
 def load_shops(run: Run, shops: DataFrame) -> None:
     loaded = merge.load_shops(run._earlier("dim_librairies"), shops)
     _add_facts(run, "dim_librairies", loaded.inserted)
-    run._count("librairies", "loaded", loaded.inserted)
+    run._count_loaded("librairies", "dim_librairies")
 
 
 def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -147,9 +147,15 @@ def write_gold(df: DataFrame, root: str, table: str, batch_id: str, append: bool
 
 
 def read_gold(
-    spark: SparkSession, root: str, table: str, schema: str, without_batch: str | None = None
+    spark: SparkSession,
+    root: str,
+    table: str,
+    schema: str,
+    *,
+    without_batch: str | None = None,
+    only_batch: str | None = None,
 ) -> DataFrame:
-    """A Gold table; ``without_batch`` leaves out what that batch has loaded before."""
+    """A Gold table, without what one batch has loaded before or with nothing else."""
     path = layer_path(root, GOLD, table)
     full = f"{schema}, load_batch string"
     if not path_exists(spark, path):
@@ -157,6 +163,8 @@ def read_gold(
     df = spark.read.schema(full).parquet(path)
     if without_batch is not None:
         df = df.filter(F.col("load_batch") != without_batch)
+    if only_batch is not None:
+        df = df.filter(F.col("load_batch") == only_batch)
     return df.drop("load_batch")
 
 
