@@ -312,6 +312,17 @@ def price_window_full(t: Tables) -> DataFrame:
     return _price_columns(joined)
 
 
+def price_levels(books: DataFrame, n: int) -> DataFrame:
+    """The price levels of each category that hold a book of rank <= ``n``, with that rank."""
+    levels = books.groupBy("category_id", "price_eur").agg(F.count("*").alias("c"))
+    by_price = W.partitionBy("category_id").orderBy(F.desc_nulls_first("price_eur"))
+    dearest = levels.withColumn("_level", F.dense_rank().over(by_price)).filter(F.col("_level") <= n)
+    before = by_price.rowsBetween(W.unboundedPreceding, -1)
+    return dearest.withColumn("rang", F.coalesce(F.sum("c").over(before), F.lit(0)) + 1).filter(
+        F.col("rang") <= n
+    )
+
+
 def top_per_category(t: Tables, n: int = 3) -> DataFrame:
     """Dearest books of each category, rank <= ``n``, ties kept.
 
@@ -320,13 +331,8 @@ def top_per_category(t: Tables, n: int = 3) -> DataFrame:
     that made it. A level shared by very many books never sits in one window.
     """
     books = t["fact_books"].select("book_id", "category_id", "title", "price_eur")
-    levels = books.groupBy("category_id", "price_eur").agg(F.count("*").alias("c"))
-    by_price = W.partitionBy("category_id").orderBy(F.desc_nulls_first("price_eur"))
-    dearest = levels.withColumn("_level", F.dense_rank().over(by_price)).filter(F.col("_level") <= n)
-    before = by_price.rowsBetween(W.unboundedPreceding, -1)
     ranked = (
-        dearest.withColumn("rang", F.coalesce(F.sum("c").over(before), F.lit(0)) + 1)
-        .filter(F.col("rang") <= n)
+        price_levels(books, n)
         .join(t["dim_categories"].select("category_id", "category_name"), "category_id")
         .select("category_id", F.col("price_eur").alias("_price"), "rang", "category_name")
     )
