@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import blank_to_null, strip
@@ -260,9 +261,10 @@ def nearest_address(points: DataFrame, gazetteer: DataFrame) -> DataFrame:
             _lower_bound(plat, plon, F.col("box")).alias("low"),
             _haversine(plat, plon, F.col("rep.lat"), F.col("rep.lon")).alias("high"),
         )
-        best = options.groupBy("plat", "plon").agg(F.min("high").alias("best"))
+        # a point meets a bounded number of cells, so its window stays small
+        best = F.min("high").over(W.partitionBy("plat", "plon"))
         front = (
-            options.join(best, ["plat", "plon"])
+            options.withColumn("best", best)
             # a hair of slack keeps rounding from cutting off the true cell
             .filter(F.col("low") <= F.col("best") + F.lit(1e-15))
             .select("plat", "plon", F.col("cell").alias("parent"))

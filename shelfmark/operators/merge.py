@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import slug
 from shelfmark.operators.keys import next_id, number_rows
 from shelfmark.schemas import FOREIGN_KEYS, UNIQUE_KEYS
-from shelfmark.session import pinned
+from shelfmark.session import broadcast_if_small, pinned
 
 
 class Merge(NamedTuple):
@@ -257,7 +257,7 @@ class Deletion(NamedTuple):
 
 def delete_by_key(table: DataFrame, keys: DataFrame) -> Deletion:
     cols = keys.columns
-    doomed = keys.distinct()
+    doomed = broadcast_if_small(keys.distinct())
     return Deletion(table.join(doomed, cols, "left_anti"), table.join(doomed, cols, "left_semi"))
 
 

@@ -245,19 +245,22 @@ def cap_pages(pages: DataFrame, limit: int | None, *order: str) -> DataFrame:
 
 
 def extract_stats(pages: DataFrame, records: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """One row: pages, records, unique authors and tags (when present), errors."""
+    """One row: pages, records, errors, unique authors and tags (when present).
 
-    def one(df: DataFrame, value: Column) -> Column:
-        return df.select(value).scalar()
-
-    columns = [
-        one(pages, F.count("*")).alias("pages"),
-        one(records, F.count("*")).alias("records"),
-        one(quarantine, F.count("*")).alias("errors"),
-    ]
-    if "author" in records.columns:
-        columns.append(one(records, F.countDistinct("author")).alias("unique_authors"))
+    Records are read once: a record counts at its first tag, or at the row that
+    stands for a record without tags.
+    """
+    figures = {"records": F.count("*")}
     if "tags" in records.columns:
-        tags = records.select(F.explode("tags").alias("tag"))
-        columns.append(one(tags, F.countDistinct("tag")).alias("unique_tags"))
-    return pages.sparkSession.range(1).select(*columns)
+        records = records.select("*", F.posexplode_outer("tags").alias("tag_no", "tag"))
+        figures["records"] = F.count_if(F.coalesce("tag_no", F.lit(0)) == 0)
+        figures["unique_tags"] = F.countDistinct("tag")
+    if "author" in records.columns:
+        figures["unique_authors"] = F.countDistinct("author")
+    counted = records.select(F.struct(*[v.alias(k) for k, v in figures.items()])).scalar()
+    row = pages.sparkSession.range(0, 1, 1, 1).select(
+        pages.select(F.count("*")).scalar().alias("pages"),
+        counted.alias("r"),
+        quarantine.select(F.count("*")).scalar().alias("errors"),
+    )
+    return row.select("pages", "r.records", "errors", *[f"r.{k}" for k in figures if k != "records"])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +13,7 @@ from shelfmark.functions import privacy
 from shelfmark.functions.text import strip
 from shelfmark.operators.cleaning import iso_text, iso_date
 from shelfmark.schemas import PERSONAL_COLUMNS
+from shelfmark.session import broadcast_if_small
 from shelfmark.sources.layers import BRONZE, layer_path, metadata, rewrite_batches
 
 RETENTION_DAYS = 30
@@ -206,21 +206,24 @@ def erase(
 
     ``requests`` holds (identifier_type, identifier). Bronze rows match on the
     raw identifier; Silver and Gold match on the pseudonyms of those rows and of
-    ``known``, a stored :func:`identity_map`. All joins are semi or anti joins
-    against distinct request keys.
+    ``known``, a stored :func:`identity_map`. Layers only meet distinct request
+    keys, which leaves them unshuffled as long as the requests are few (their
+    number is checked).
     """
-    by_kind = {
-        kind: requests.filter(F.col("identifier_type") == kind)
-        .select(F.col("identifier").alias(f"contact_{kind}"))
-        .distinct()
-        for kind in IDENTIFIER_TYPES
-    }
-    kept, hits = bronze, []
-    for kind, keys in by_kind.items():
-        column = f"contact_{kind}"
-        hits.append(kept.join(keys, column, "left_semi").select(*bronze.columns))
-        kept = kept.join(keys, column, "left_anti").select(*bronze.columns)
-    erased = reduce(DataFrame.unionByName, hits)
+    marked, hit = bronze, F.lit(False)
+    for kind in IDENTIFIER_TYPES:
+        column, flag = f"contact_{kind}", f"_asked_{kind}"
+        keys = (
+            requests.filter(F.col("identifier_type") == kind)
+            .select(F.col("identifier").alias(column))
+            .distinct()
+        )
+        marked = marked.join(
+            broadcast_if_small(keys).withColumn(flag, F.lit(True)), column, "left"
+        )
+        hit = hit | F.coalesce(F.col(flag), F.lit(False))
+    kept = marked.filter(~hit).select(*bronze.columns)
+    erased = marked.filter(hit).select(*bronze.columns)
     hashes = erased.select(contact_hash(salt).alias("contact_hash"))
     if known is not None:
         asked = requests.select(
@@ -231,7 +234,7 @@ def erase(
                 "contact_hash"
             )
         )
-    doomed = hashes.filter("contact_hash is not null").distinct()
+    doomed = broadcast_if_small(hashes.filter("contact_hash is not null").distinct())
 
     def gone(df: DataFrame) -> Column:
         return df.join(doomed, "contact_hash", "left_semi").select(F.count("*")).scalar()

@@ -280,7 +280,7 @@ def price_window_full(t: Tables) -> DataFrame:
         rows.select(
             "*", F.row_number().over(local).alias("rn"), F.sum("prix").over(running).alias("s1")
         )
-        .join(starts, ["categorie", "slice"])
+        .join(broadcast_if_small(starts), ["categorie", "slice"])
         .select(
             *priced.columns,
             (F.col("rn") + F.col("c0")).alias("pos"),
@@ -301,7 +301,7 @@ def price_window_full(t: Tables) -> DataFrame:
             & F.col("p.prix").eqNullSafe(F.col("q.prix")),
         )
         .select("p.*", "q.rang", "q.same")
-        .join(means, "categorie")
+        .join(broadcast_if_small(means), "categorie")
         .withColumn(
             "below",
             F.when(F.col("prix").isNull(), F.col("n_priced")).otherwise(

@@ -6,6 +6,7 @@ stage. A stage works on one batch.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, replace
 from decimal import Decimal
 
@@ -17,7 +18,6 @@ from shelfmark.functions.fields import RATE_GBP_EUR
 from shelfmark.operators import cleaning, geocode, merge, pages, privacy, validation
 from shelfmark.operators.splits import QUARANTINE, failure_report
 from shelfmark.plans import analytics
-from shelfmark.session import pinned
 from shelfmark.sources.layers import (
     BRONZE,
     SILVER,
@@ -74,6 +74,7 @@ class Run:
         self.s = settings
         self.batch_id = batch_id or new_batch_id()
         self.counts: list[tuple[str, str, str, int]] = []
+        self.seconds: dict[str, float] = {}
 
     # -- helpers
 
@@ -145,17 +146,13 @@ class Run:
         lines = validation.number_lines(partners)
         split = validation.validate_partners(lines, batch_id=self.batch_id)
         self._reject(split.quarantine)
-        silver, bronze = privacy.import_partners(
-            split.good, source=self.s.partner_source, batch_id=self.batch_id, salt=self.s.salt
-        )
-        self._store(bronze, BRONZE, "raw_librairies")
-        self._store(
-            privacy.identity_map(
-                self._read(BRONZE, "raw_librairies", schemas.RAW_SHOPS), self.s.salt
-            ),
-            SILVER,
-            "identity_map",
+        raw = privacy.bronze_partners(
+            split.good, source=self.s.partner_source, batch_id=self.batch_id
         )
+        self._store(raw, BRONZE, "raw_librairies")
+        bronze = self._read(BRONZE, "raw_librairies", schemas.RAW_SHOPS)
+        self._store(privacy.identity_map(bronze, self.s.salt), SILVER, "identity_map")
+        silver = privacy.silver_partners(bronze, salt=self.s.salt)
         numbered = silver.withColumn("row_number", F.col("_metadata.row_number"))
         if responses is not None:
             answers = geocode.parse_responses(responses)
@@ -167,7 +164,7 @@ class Run:
             numbered = geocode.enrich(numbered, results)
         # anonymised rows wait beside Bronze for the transform stage
         self._store(numbered.drop("_metadata"), SILVER, "anonymised_librairies")
-        self._count("librairies", "extracted", self._read(BRONZE, "raw_librairies", schemas.RAW_SHOPS))
+        self._count("librairies", "extracted", bronze)
 
     # -- transform
 
@@ -206,9 +203,14 @@ class Run:
     # -- everything
 
     def run(self, inputs: Inputs) -> DataFrame:
-        self.extract(inputs)
-        self.transform()
-        self.load()
+        for name, stage in (
+            ("extract", lambda: self.extract(inputs)),
+            ("transform", self.transform),
+            ("load", self.load),
+        ):
+            start = time.monotonic()
+            stage()
+            self.seconds[name] = time.monotonic() - start
         return self.summary()
 
     def summary(self) -> DataFrame:
@@ -229,8 +231,8 @@ _ANONYMISED = (
 
 
 def _add_members(run: Run, table: str, loaded: merge.Merge) -> None:
-    """Append the new members of a dimension."""
-    write_gold(pinned(loaded.inserted), run.s.root, table, run.batch_id, append=True)
+    """Append the new members of a dimension; their numbering has pinned them already."""
+    write_gold(loaded.inserted, run.s.root, table, run.batch_id, append=True)
 
 
 def _add_facts(run: Run, table: str, rows: DataFrame) -> None:
@@ -260,11 +262,10 @@ def load_quotes(run: Run, quotes: DataFrame) -> None:
     _add_members(run, "dim_authors", merge.upsert_authors(run._gold("dim_authors"), quotes))
     _add_members(run, "dim_tags", merge.upsert_tags(run._gold("dim_tags"), quotes))
     loaded = merge.load_quotes(run._earlier("fact_quotes"), quotes, run._gold("dim_authors"))
-    inserted = pinned(loaded.inserted)
     pairs = merge.load_bridge(
-        run._earlier("quote_tags"), inserted, quotes, run._gold("dim_tags")
+        run._earlier("quote_tags"), loaded.inserted, quotes, run._gold("dim_tags")
     ).inserted
-    _add_facts(run, "fact_quotes", inserted)
+    _add_facts(run, "fact_quotes", loaded.inserted)
     _add_facts(run, "quote_tags", pairs)
     run._count_loaded("quotes", "fact_quotes")
 

@@ -77,4 +77,6 @@ def test_quote_cards(quote_page):
     assert pages.with_tag(good, "y").count() == 1
     assert pages.next_page(quote_page).first().next_url is None
     stats = pages.extract_stats(quote_page, strict.good, strict.quarantine).first()
-    assert tuple(stats) == (1, 1, 1, 1, 2)
+    assert stats.asDict() == {
+        "pages": 1, "records": 1, "errors": 1, "unique_authors": 1, "unique_tags": 2,
+    }
