@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,11 +105,14 @@ def dim_tags(part: DataFrame) -> DataFrame:
 
 def quote_tags(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """One pair per order and brand."""
-    brands = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand"))
+    # the key is made on the small side, not once per line
+    brands = part.select(
+        F.col("p_partkey").alias("l_partkey"), stable_key(F.col("p_brand")).alias("tag_id")
+    )
     return (
         lineitem.select("l_orderkey", "l_partkey")
         .join(brands, "l_partkey")
-        .select(F.col("l_orderkey").alias("quote_id"), stable_key(F.col("p_brand")).alias("tag_id"))
+        .select(F.col("l_orderkey").alias("quote_id"), "tag_id")
         .distinct()
     )
 
@@ -137,48 +141,75 @@ def dim_shops(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Data
     )
 
 
-def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All star tables, lazily."""
-    part, orders = table(spark, sf_dir, "part"), table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer")
-    return {
-        "dim_categories": dim_categories(part),
-        "fact_books": fact_books(part),
-        "dim_authors": counted_authors(customer, orders),
-        "fact_quotes": fact_quotes(orders),
-        "dim_tags": dim_tags(part),
-        "quote_tags": quote_tags(table(spark, sf_dir, "lineitem"), part),
-        "dim_librairies": dim_shops(
-            table(spark, sf_dir, "supplier"),
-            table(spark, sf_dir, "nation"),
-            table(spark, sf_dir, "region"),
-        ),
-    }
+class Tables(Mapping[str, DataFrame]):
+    """Named frames, each planned when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def star(spark: SparkSession, sf_dir: str) -> Tables:
+    """All star tables."""
+
+    def raw(*names: str) -> list[DataFrame]:
+        return [table(spark, sf_dir, n) for n in names]
+
+    return Tables(
+        {
+            "dim_categories": lambda: dim_categories(*raw("part")),
+            "fact_books": lambda: fact_books(*raw("part")),
+            "dim_authors": lambda: counted_authors(*raw("customer", "orders")),
+            "fact_quotes": lambda: fact_quotes(*raw("orders")),
+            "dim_tags": lambda: dim_tags(*raw("part")),
+            "quote_tags": lambda: quote_tags(*raw("lineitem", "part")),
+            "dim_librairies": lambda: dim_shops(*raw("supplier", "nation", "region")),
+        }
+    )
 
 
-def normalised(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def normalised(spark: SparkSession, sf_dir: str) -> Tables:
     """The tables of the normalised variant."""
-    part, orders = table(spark, sf_dir, "part"), table(spark, sf_dir, "orders")
-    return {
-        "authors": table(spark, sf_dir, "customer").select(
-            F.col("c_custkey").alias("id_author"), F.col("c_name").alias("author_name")
-        ),
-        "quotes": fact_quotes(orders)
-        .filter("author_id is not null")
-        .select(
-            F.col("quote_id").alias("id_quote"),
-            F.col("quote_text").alias("text"),
-            F.col("author_id").alias("id_author"),
-        ),
-        "tags": dim_tags(part).select(F.col("tag_id").alias("id_tag"), "tag_name"),
-        "quotes_tags": quote_tags(table(spark, sf_dir, "lineitem"), part).select(
-            F.col("quote_id").alias("id_quote"), F.col("tag_id").alias("id_tag")
-        ),
-        "books": part.select(F.col("p_partkey").alias("id_book"), F.col("p_name").alias("title")),
-        "librairies": table(spark, sf_dir, "supplier").select(
-            F.col("s_suppkey").alias("id_librairie"), F.col("s_name").alias("nom_librairie")
-        ),
-    }
+    t = star(spark, sf_dir)
+
+    def quotes() -> DataFrame:
+        return (
+            t["fact_quotes"]
+            .filter("author_id is not null")
+            .selectExpr("quote_id as id_quote", "quote_text as text", "author_id as id_author")
+        )
+
+    return Tables(
+        {
+            "authors": lambda: table(spark, sf_dir, "customer").selectExpr(
+                "c_custkey as id_author", "c_name as author_name"
+            ),
+            "quotes": quotes,
+            "tags": lambda: t["dim_tags"].selectExpr("tag_id as id_tag", "tag_name"),
+            "quotes_tags": lambda: t["quote_tags"].selectExpr(
+                "quote_id as id_quote", "tag_id as id_tag"
+            ),
+            "books": lambda: table(spark, sf_dir, "part").selectExpr(
+                "p_partkey as id_book", "p_name as title"
+            ),
+            "librairies": lambda: table(spark, sf_dir, "supplier").selectExpr(
+                "s_suppkey as id_librairie", "s_name as nom_librairie"
+            ),
+        }
+    )
 
 
 # --------------------------------------------------------------- raw layers

@@ -82,11 +82,11 @@ def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
     """First row of each ``key`` by the unique column ``order``.
 
     The wide rows never meet in one group: the aggregate moves two narrow
-    columns and combines copies map-side, and the semi join hashes on the
-    unique ``order`` too, so a key that holds a third of all rows stays spread.
+    columns and combines copies map-side, and the semi join runs on the unique
+    ``order`` alone, so a key that holds a third of all rows stays spread.
     """
-    winners = df.groupBy(key).agg(F.min(order).alias(order))
-    return df.join(winners, [key, order], "left_semi").select(*df.columns)
+    winners = df.groupBy(key).agg(F.min(order).alias(order)).select(order)
+    return df.join(winners, order, "left_semi").select(*df.columns)
 
 
 def clean_quotes(

@@ -14,6 +14,7 @@ from shelfmark.plans.normalise import normalise_quotes as split_quotes
 from shelfmark.plans.normalise import shop_tables
 from shelfmark.registry.base import query, sql_key, with_normalised, with_star
 from shelfmark.registry.cleaning import _QUOTES, BATCH
+from shelfmark.session import pinned
 
 
 @query(
@@ -74,8 +75,9 @@ def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _quote_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Silver batch, stored before it is loaded as a run does it."""
     raw = b.raw_quotes(b.table(spark, sf_dir, "documents"))
-    return cleaning.clean_quotes(raw, batch_id=BATCH)
+    return pinned(cleaning.clean_quotes(raw, batch_id=BATCH))
 
 
 _QUOTE_STORE = "quote_id bigint, author_id bigint, quote_text string, quote_hash string"
