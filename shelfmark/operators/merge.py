@@ -101,7 +101,7 @@ def upsert_tags(existing: DataFrame, quotes: DataFrame) -> Merge:
 
 def map_to_id(facts: DataFrame, column: str, dim: DataFrame, name: str, id_col: str) -> DataFrame:
     """Replace a member name by its key, NULL when unknown."""
-    keys = dim.select(F.col(name).alias(column), F.col(id_col))
+    keys = broadcast_if_small(dim.select(F.col(name).alias(column), F.col(id_col)))
     return facts.join(keys, column, "left").drop(column)
 
 
@@ -241,7 +241,7 @@ def update_by_key(
     new = changes.select(
         *keys, *[F.col(c).alias(f"_new_{t}") for t, c in targets.items()], F.lit(True).alias("_hit")
     )
-    joined = table.join(new, keys, "left")
+    joined = table.join(broadcast_if_small(new), keys, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     out = [
         F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in targets else F.col(c)
@@ -286,7 +286,7 @@ def delete_cascade(
 
 def lookup(table: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of ``table`` for a set of keys."""
-    return table.join(keys.distinct(), keys.columns, "left_semi")
+    return table.join(broadcast_if_small(keys.distinct()), keys.columns, "left_semi")
 
 
 def lookup_one(table: DataFrame, **key: object) -> DataFrame:

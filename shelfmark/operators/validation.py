@@ -12,6 +12,7 @@ from shelfmark.functions import privacy
 from shelfmark.functions.text import WHITESPACE
 from shelfmark.operators.keys import number_rows
 from shelfmark.operators.splits import Split, quarantine_rows
+from shelfmark.session import broadcast_if_small
 
 # a data file counts its header as line 1
 FIRST_DATA_LINE = 2
@@ -242,5 +243,5 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows that point at no parent; a NULL reference is allowed."""
-    known = parent.select(F.col(parent_column).alias(column)).distinct()
+    known = broadcast_if_small(parent.select(F.col(parent_column).alias(column)).distinct())
     return child.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
