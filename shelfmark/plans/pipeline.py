@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, replace
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,9 @@ from shelfmark.sources.layers import (
 # fixed values: caps of a trial run
 TRIAL_CATEGORIES, TRIAL_QUOTE_PAGES = 2, 2
 
+# stages that may reject rows
+STAGES = ("extract_books", "extract_quotes", "import_shops", "transform_books", "load_books")
+
 SUMMARY = "batch_id string, entity string, stage string, n_rows bigint"
 
 
@@ -88,8 +92,12 @@ class Run:
         df = read_layer(self.spark, self.s.root, layer, name, schema, self.batch_id)
         return df.drop("batch_id")
 
-    def _reject(self, quarantine: DataFrame) -> None:
-        self._store(quarantine.drop("batch_id"), SILVER, "quarantine")
+    def _reject(self, stage: str, quarantine: DataFrame) -> None:
+        """Rejected rows of one stage; a repeated stage replaces what it rejected before."""
+        append_layer(
+            quarantine.drop("batch_id"), self.s.root, SILVER, f"quarantine_{stage}",
+            self.batch_id, replace_batch=True,
+        )
 
     def _gold(self, table: str) -> DataFrame:
         return read_gold(self.spark, self.s.root, table, schemas.GOLD[table])
@@ -121,7 +129,7 @@ class Run:
             capped, site_root=self.s.book_site, source=self.s.book_source, batch_id=self.batch_id
         )
         self._store(split.good.drop("page_id", "position"), BRONZE, "raw_books")
-        self._reject(split.quarantine)
+        self._reject("extract_books", split.quarantine)
         self._count("books", "extracted", self._read(BRONZE, "raw_books", schemas.RAW_BOOKS))
 
     def _extract_quotes(self, quote_pages: DataFrame) -> None:
@@ -136,7 +144,7 @@ class Run:
             "position", F.col("page_id").cast("bigint") * F.lit(1 << 32) + F.col("position")
         )
         self._store(ordered.drop("page_id"), BRONZE, "raw_quotes")
-        self._reject(split.quarantine)
+        self._reject("extract_quotes", split.quarantine)
         self._count("quotes", "extracted", self._bronze_quotes())
 
     def _bronze_quotes(self) -> DataFrame:
@@ -145,7 +153,7 @@ class Run:
     def _extract_shops(self, partners: DataFrame, responses: DataFrame | None) -> None:
         lines = validation.number_lines(partners)
         split = validation.validate_partners(lines, batch_id=self.batch_id)
-        self._reject(split.quarantine)
+        self._reject("import_shops", split.quarantine)
         raw = privacy.bronze_partners(
             split.good, source=self.s.partner_source, batch_id=self.batch_id
         )
@@ -175,7 +183,7 @@ class Run:
             rate=self.s.rate,
         )
         self._store(books.good, SILVER, "clean_books")
-        self._reject(books.quarantine)
+        self._reject("transform_books", books.quarantine)
         self._count("books", "transformed", self._silver("clean_books", schemas.CLEAN_BOOKS))
 
         quotes = cleaning.clean_quotes(self._bronze_quotes(), batch_id=self.batch_id)
@@ -218,8 +226,15 @@ class Run:
         return self.spark.createDataFrame(self.counts, SUMMARY)
 
     def failures(self, shown: int = 5) -> DataFrame:
-        stored = read_layer(self.spark, self.s.root, SILVER, "quarantine", _REJECTED, self.batch_id)
-        return failure_report(stored, shown)
+        return failure_report(self.quarantine(), shown)
+
+    def quarantine(self) -> DataFrame:
+        """All rejected rows of this batch."""
+        parts = [
+            read_layer(self.spark, self.s.root, SILVER, f"quarantine_{s}", _REJECTED, self.batch_id)
+            for s in STAGES
+        ]
+        return reduce(DataFrame.unionByName, parts)
 
 
 _REJECTED = QUARANTINE.replace(", batch_id string", "")
@@ -248,7 +263,7 @@ def load_books(run: Run, books: DataFrame) -> None:
         key="title",
         batch_id=run.batch_id,
     )
-    run._reject(bad)
+    run._reject("load_books", bad)
     _add_members(
         run, "dim_categories", merge.upsert_categories(run._gold("dim_categories"), books)
     )

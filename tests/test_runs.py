@@ -48,11 +48,14 @@ def test_run_rerun_and_reports(spark, tmp_path, inputs):
     assert rows(gold["dim_tags"], "tag_name", "usage_count") == [("x", 1), ("y", 1)]
     shop = gold["dim_librairies"].first()
     assert (float(shop.latitude), shop.ville) == (48.850699, "Paris")
+    rejected = [("extract_books", 3), ("import_shops", 1), ("transform_books", 3)]
+    assert rows(first.quarantine().groupBy("stage").count()) == rejected
     assert first.failures().count() == 5
 
     # a repeated load of the same batch replaces its rows; a new batch adds books, not quotations
     first.load()
     assert pipeline.gold_tables(spark, str(tmp_path))["fact_books"].count() == 3
+    assert rows(first.quarantine().groupBy("stage").count()) == rejected
     second = pipeline.Run(spark, settings(tmp_path), "b2")
     second.run(inputs)
     gold = pipeline.gold_tables(spark, str(tmp_path))
@@ -67,6 +70,14 @@ def test_run_rerun_and_reports(spark, tmp_path, inputs):
     assert spark.table("v_stats_categories").count() == 3
 
 
+def test_replacing_run_keeps_every_stage_of_the_quarantine(spark, tmp_path, inputs):
+    run = pipeline.Run(spark, settings(tmp_path, replace_batch=True), "b1")
+    for _ in range(2):
+        run.extract(inputs)
+    assert run.quarantine().select("stage").distinct().count() == 2
+    assert [r.n_rows for r in run.summary().filter("entity = 'books'").collect()] == [6, 6]
+
+
 def test_trial_run_is_capped(spark, tmp_path, inputs):
     run = pipeline.Run(spark, settings(tmp_path).trial())
     run.extract(inputs)
