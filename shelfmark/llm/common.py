@@ -65,36 +65,34 @@ def words(text):
     return F.array_remove(F.split(plain, " "), "")
 
 
-def _levels(df: DataFrame, key: str) -> int:
-    """How many times the keys must be shifted until all of them are one."""
+def _levels(df: DataFrame, key: str) -> tuple[int, int]:
+    """The smallest key, and the levels of a tree over the keys counted from it."""
     low, high = df.agg(F.min(key), F.max(key)).first()
     if low is None:
-        return 0
-    n = 0
-    while low >> (n * _FAN_BITS) != high >> (n * _FAN_BITS):
-        n += 1
-    return n
+        return 0, 1
+    return low, max(1, -(-(high - low).bit_length() // _FAN_BITS))
 
 
 def running_totals(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """``key`` and the total of ``value`` over all smaller keys, as ``name``.
 
-    ``key`` is a unique bigint. Sums climb a tree with 512 keys to a node, so a
+    ``key`` is a unique bigint; keys may span 2**62 at most. Sums climb a tree with 512 keys to a node, so a
     window never holds more than 512 rows whatever the table's size. An empty
     table gives an empty one.
     """
     from pyspark.sql import Window
 
     rows = df.select(F.col(key).cast("bigint").alias("_k"), F.col(value).cast("bigint").alias("_v"))
-    levels = _levels(rows, "_k")
+    low, levels = _levels(rows, "_k")
+    rows = rows.withColumn("_k", F.col("_k") - F.lit(low).cast("bigint"))
     node = F.shiftright("_k", _FAN_BITS)
     before = Window.partitionBy("_n").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
     up, layers = rows, []
-    for _ in range(max(1, levels)):
+    for _ in range(levels):
         layers.append(up.withColumn("_n", node).withColumn("_b", F.coalesce(F.sum("_v").over(before), F.lit(0))))
         up = up.groupBy(node.alias("_k")).agg(F.sum("_v").alias("_v"))
     totals = layers.pop().select("_k", "_b")
     for layer in reversed(layers):
         above = totals.select(F.col("_k").alias("_n"), F.col("_b").alias("_a"))
         totals = layer.join(above, "_n").select("_k", (F.col("_b") + F.col("_a")).alias("_b"))
-    return totals.select(F.col("_k").alias(key), F.col("_b").alias(name))
+    return totals.select((F.col("_k") + F.lit(low).cast("bigint")).alias(key), F.col("_b").alias(name))
