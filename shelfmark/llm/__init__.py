@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("substring_dedup", "packing", "token_files", "byte_bpe")
+MODULES = ("substring_dedup", "packing", "token_files", "byte_bpe", "html_text")
 
 
 def load():
