@@ -96,3 +96,37 @@ def running_totals(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
         above = totals.select(F.col("_k").alias("_n"), F.col("_b").alias("_a"))
         totals = layer.join(above, "_n").select("_k", (F.col("_b") + F.col("_a")).alias("_b"))
     return totals.select((F.col("_k") + F.lit(low).cast("bigint")).alias(key), F.col("_b").alias(name))
+
+
+def next_values(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``key`` and the ``value`` at the next larger key, as ``name`` (null after the last).
+
+    ``key`` is a unique bigint; keys may span 2**62 at most. Works along the
+    same tree as :func:`running_totals`: no window holds more than 512 rows.
+    """
+    from pyspark.sql import Window
+
+    rows = df.select(F.col(key).cast("bigint").alias("_k"), F.col(value).alias("_v"))
+    low, levels = _levels(rows, "_k")
+    rows = rows.withColumn("_k", F.col("_k") - F.lit(low).cast("bigint"))
+    node = F.shiftright("_k", _FAN_BITS)
+    order = Window.partitionBy("_n").orderBy("_k")
+    up, layers = rows, []
+    for _ in range(levels):
+        layers.append(up.withColumn("_n", node).withColumn("_b", F.lead(F.struct("_v")).over(order)))
+        up = up.groupBy(node.alias("_k")).agg(F.min_by("_v", "_k").alias("_v"))
+    found = layers.pop().select("_k", "_b")
+    for layer in reversed(layers):
+        above = found.select(F.col("_k").alias("_n"), F.col("_b").alias("_a"))
+        found = layer.join(above, "_n").select("_k", F.coalesce("_b", "_a").alias("_b"))
+    return found.select((F.col("_k") + F.lit(low).cast("bigint")).alias(key), F.col("_b._v").alias(name))
+
+
+# rows of at most a few numbers that may be shipped whole to every executor
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, label: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a few numbers a row), written once and counted: marked for broadcast up to ``most`` rows, else joined by a shuffle."""
+    rows = stored(df, label)
+    return F.broadcast(rows) if rows.count() <= most else rows
