@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("substring_dedup", "packing", "token_files", "byte_bpe", "quality_rules", "sharding", "html_text")
+MODULES = ("substring_dedup", "packing", "token_files", "byte_bpe", "quality_rules", "sharding", "weighted_fingerprints", "near_dedup", "html_text")
 
 
 def load():
