@@ -43,7 +43,7 @@ RUN_ROUNDS = (0, 4)
 # rounds after which anchors are taken; a later one with a core wins
 ANCHOR_ROUNDS = (2, 5, 8)
 BATCH_BYTES = 1 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 2 << 20
 
 _U = np.uint64
 
