@@ -46,7 +46,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str, codec: str = "zstd", folder: str | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str = "snappy", folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     folder = folder or shared_folder(spark, label)

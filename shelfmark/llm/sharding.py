@@ -51,7 +51,7 @@ def write_shards(
     first = F.expr(f"(shard * {n}L + {shards - 1}) div {shards}")
     placed = placed.withColumn("slot", F.col("_place") - first).drop("_place").sortWithinPartitions("shard", "slot")
     folder = folder or shared_folder(spark, "shards")
-    placed.write.option("compression", "zstd").partitionBy("shard").parquet(folder)
+    placed.write.option("compression", "snappy").partitionBy("shard").parquet(folder)
     return spark.read.schema(placed.schema).parquet(folder)
 
 
