@@ -15,8 +15,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-# fixed values: the characters that separate words
-SPACES = " \t\n\x0b\x0c\r"
+# fixed values: the characters that separate words, as a class of a regular expression
+SPACES = r"[ \t\n\x0B\f\r]"
 
 # children of a node in running_totals and following_id
 _FAN_BITS = 9
@@ -61,8 +61,7 @@ def text_bytes(df: DataFrame, text_col: str) -> int:
 
 def words(text):
     """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text column; none for null."""
-    plain = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
-    return F.array_remove(F.split(plain, " "), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES + "+"), "")
 
 
 def _levels(df: DataFrame, key: str) -> tuple[int, int]:

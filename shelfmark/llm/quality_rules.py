@@ -74,7 +74,7 @@ def repeated_words(all_words: Column) -> Column:
 
 def _lines(text: Column) -> Column:
     """Lines that hold a word."""
-    return F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(SPACES.replace("[", "[^")))
 
 
 def counts(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -84,8 +84,8 @@ def counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     found = found.withColumns(
         {
             "n_words": F.size("_words").cast("bigint"),
-            "word_chars": F.length(F.translate(text, SPACES, "")).cast("bigint"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint"),
+            "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
+            "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]", ""))).cast("bigint"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
             "n_repeat_words": repeated_words(F.col("_words")),
         }
@@ -106,7 +106,7 @@ def _line_rows(df: DataFrame, host_col: str, text_col: str, *more: str) -> DataF
     plain = F.transform(_lines(text), lambda x: F.lower(F.array_join(words(x), " ")))
     rows = df.select(host.alias("h"), key.alias("k"), F.size(words(text)).alias("total"), plain.alias("p"), *more)
     rows = rows.select("h", "k", "total", *more, F.explode("p").alias("l"))
-    size = F.length("l") - F.length(F.translate("l", " ", "")) + 1
+    size = F.length("l") - F.length(F.replace("l", F.lit(" "), F.lit(""))) + 1
     return rows.select("h", "k", "total", *more, F.xxhash64("h", "l").alias("line"), size.alias("size"))
 
 
