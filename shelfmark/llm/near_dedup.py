@@ -155,20 +155,25 @@ def linked(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) ->
 def components(edges: DataFrame) -> DataFrame:
     """``id, label`` of every node of ``edges`` (``a, b``): the smallest id of its component.
 
-    Labels fall to the smallest of the neighbours' and then to their label's
-    own label, so the rounds grow with the logarithm of a component's diameter.
+    Each round sends every node to the smallest of itself and its neighbours
+    and joins what was sent together into one node. The larger end of each edge
+    goes, so the edges shrink fast; a round moves what is left of them.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("low"))
-        lower = labels.join(near, "id").select("id", F.col("label").alias("was"), F.least("label", "low").alias("label"))
-        lower = stored(lower, "labels")
-        jump = lower.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        after = stored(lower.join(jump, "label").select("id", "was", F.least("label", "next").alias("label")), "labels")
-        if not after.where("label <> was").limit(1).count():
-            return after.select("id", "label")
-        labels = after.select("id", "label")
+    left = stored(edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low <> high").distinct(), "edges")
+    labels = left.select(F.col("low").alias("id")).union(left.select("high")).distinct().withColumn("label", F.col("id"))
+    labels = stored(labels, "labels")
+    while left.limit(1).count():
+        near = left.select(F.col("high").alias("node"), F.col("low").alias("other")).union(left.select("low", "high"))
+        sent = near.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("to"))
+        further = sent.select(F.col("node").alias("to"), F.col("to").alias("then"))
+        sent = stored(sent.join(further, "to").select("node", F.col("then").alias("to")), "sent")
+        low, high = (sent.select(F.col("node").alias(c), F.col("to").alias(f"to_{c}")) for c in ("low", "high"))
+        moved = left.join(low, "low").join(high, "high")
+        ends = F.least("to_low", "to_high").alias("low"), F.greatest("to_low", "to_high").alias("high")
+        left = stored(moved.select(*ends).where("low <> high").distinct(), "edges")
+        moves = sent.select(F.col("node").alias("label"), "to")
+        labels = stored(labels.join(moves, "label", "left").select("id", F.coalesce("to", "label").alias("label")), "labels")
+    return labels
 
 
 def _leaders(members: DataFrame, label: str = "id") -> DataFrame:
