@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import query, stored, table
-from shelfmark.llm.word_ids import END_ID, WordIds, parts
+from shelfmark.llm.word_ids import END_ID, encoder, parts
 
 SIZE = 2048
 OPEN = 64
@@ -95,13 +95,13 @@ def pack(
     kind = rows.schema["id"].dataType.simpleString()
 
     def place(batches):
-        encoder = WordIds(vocabulary, end_id)
+        encode = encoder(vocabulary, end_id).encode
         pid = TaskContext.get().partitionId()
         windows, id_type = _Windows(size, most_open, pid << _LOCAL_BITS), None
         for whole in batches:
             id_type = whole.schema.field("id").type
             for batch in parts(whole, "t"):
-                for key, ids in zip(batch["id"].to_pylist(), encoder.encode(batch["t"].to_pylist()), strict=True):
+                for key, ids in zip(batch["id"].to_pylist(), encode(batch["t"].to_pylist()), strict=True):
                     n, at = len(ids) // 4, 0
                     while n - at >= size:
                         windows.out.append((key, at, size, n, windows.next, 0, ids[4 * at : 4 * (at + size)]))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import query, running_totals, stored, table
-from shelfmark.llm.word_ids import END_ID, WordIds
+from shelfmark.llm.word_ids import END_ID, encoder
 
 BLOCK = 4096
 PERCENTILE = 98
@@ -136,13 +136,9 @@ def write_tokens(
         F.col(text_col).alias("t"),
     )
 
-    encoders: dict[str, WordIds] = {}
-
     def encode(key, t):
-        if vocabulary not in encoders:
-            encoders[vocabulary] = WordIds(vocabulary, end_id)
         t = t.sort_by([("id", "ascending"), ("t", "ascending")])
-        coded = encoders[vocabulary].encode(t["t"].to_pylist())
+        coded = encoder(vocabulary, end_id).encode(t["t"].to_pylist())
         size = np.array([len(x) // 4 for x in coded], np.int64)
         ids = np.frombuffer(b"".join(coded), "<u4")
         no_id = key[0].as_py() == _NO_ID

@@ -7,13 +7,14 @@ its words in a row. Words repeat; each distinct one is encoded once per worker.
 
 from __future__ import annotations
 
+import functools
 import os
 
 import numpy as np
 
 END_ID = 1
 # words remembered by a worker before it starts afresh
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 19
 
 
 class WordIds:
@@ -40,6 +41,12 @@ class WordIds:
         return [b"".join([known[w] for w in ws]) + self.end for ws in split]
 
 
+@functools.lru_cache(2)
+def encoder(path: str, end_id: int = END_ID) -> WordIds:
+    """The worker's encoder; it and its words outlive a task."""
+    return WordIds(path, end_id)
+
+
 def parts(batch, text_col: str, most_bytes: int = 4 << 20):
     """Slices of an Arrow batch that hold about ``most_bytes`` of text, a row at least."""
     import pyarrow.compute as pc
