@@ -79,14 +79,16 @@ def clean_books(
 
 
 def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
-    """First row of each ``key`` by the unique column ``order``.
+    """First row of each ``key`` by ``order``; of rows equal in both, any one.
 
     The wide rows never meet in one group: the aggregate moves two narrow
-    columns and combines copies map-side, and the semi join runs on the unique
-    ``order`` alone, so a key that holds a third of all rows stays spread.
+    columns and combines copies map-side, and the semi join runs on ``key`` and
+    ``order`` together, so a key that holds a third of all rows stays spread.
+    ``order`` may repeat: positions restart with every file.
     """
-    winners = df.groupBy(key).agg(F.min(order).alias(order)).select(order)
-    return df.join(winners, order, "left_semi").select(*df.columns)
+    winners = df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_order"))
+    first = F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_order"))
+    return df.join(winners, first, "left_semi").dropDuplicates([key, order]).select(*df.columns)
 
 
 def clean_quotes(

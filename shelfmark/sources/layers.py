@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
@@ -95,14 +95,27 @@ def append_layer(
 ) -> str:
     """Write one batch. Appends by default; ``replace_batch`` makes a re-run idempotent."""
     path = layer_path(root, layer, name)
-    writer = df.withColumn("batch_id", F.lit(batch_id)).write.partitionBy("batch_id")
     if replace_batch:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        _replace_partition(df, path, "batch_id", batch_id)
     else:
-        writer.mode("append").parquet(path)
+        df.withColumn("batch_id", F.lit(batch_id)).write.partitionBy("batch_id").mode("append").parquet(path)
     return path
 
 
+def _replace_partition(df: DataFrame, path: str, partition: str, value: str) -> None:
+    """Put the rows of ``df`` in place of one partition; without rows the partition goes.
+
+    A dynamic overwrite leaves a partition alone for which no row arrives, so
+    the written rows are counted on the way and the folder is removed for none.
+    """
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n")).withColumn(partition, F.lit(value))
+    rows.write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    if not seen.get["n"]:
+        fs, gone = _fs(df.sparkSession, f"{path}/{partition}={value}")
+        fs.delete(gone, True)
+
+
 def rewrite_batches(
     kept: DataFrame, path: str, touched: Iterable[str], partition: str = "batch_id"
 ) -> None:
@@ -138,11 +151,10 @@ def write_gold(df: DataFrame, root: str, table: str, batch_id: str, append: bool
     run again. ``append`` keeps them (dimensions, which only gain members).
     """
     path = layer_path(root, GOLD, table)
-    writer = df.withColumn("load_batch", F.lit(batch_id)).write.partitionBy("load_batch")
     if append:
-        writer.mode("append").parquet(path)
+        df.withColumn("load_batch", F.lit(batch_id)).write.partitionBy("load_batch").mode("append").parquet(path)
     else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        _replace_partition(df, path, "load_batch", batch_id)
     return path
 
 

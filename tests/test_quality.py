@@ -149,3 +149,34 @@ def test_partner_files_keep_zeros_and_report_columns(spark, tmp_path):
     check = partner.check_partner_columns(odd)
     assert len(check.errors) == 2 and len(check.warnings) == 1
     assert not partner.check_partner_path(spark, str(tmp_path / "none.csv")).ok
+
+
+def test_keep_first_with_repeated_positions(spark):
+    from shelfmark.operators.cleaning import keep_first
+
+    df = spark.createDataFrame([("C", 0, "x"), ("X", 1, "y"), ("C", 1, "z"), ("C", 0, "x"), (None, 5, "n")], "k string, o int, v string")
+    got = sorted((r.k or "", r.o) for r in keep_first(df, "k", "o").collect())
+    assert got == [("", 5), ("C", 0), ("X", 1)]
+
+
+def test_retention_filter_reaches_the_scan(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from shelfmark.operators.privacy import purge_expired
+
+    spark.sql("select timestamp'2024-01-01 00:00:00' as at union all select null").write.parquet(f"{tmp_path}/t")
+    kept = purge_expired(spark.read.parquet(f"{tmp_path}/t"), F.lit("2024-06-01").cast("timestamp"), 30, "at")
+    assert [r.at for r in kept.collect()] == [None]
+    assert "PushedFilters: [Or(IsNull(at),GreaterThanOrEqual(at" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_replacing_a_batch_by_nothing(spark, tmp_path):
+    from shelfmark.sources import layers
+
+    df = spark.createDataFrame([(1,), (2,)], "v int")
+    for part in (df, df.limit(0)):
+        path = layers.append_layer(part, str(tmp_path), "bronze", "things", "b1", replace_batch=True)
+        gold = layers.write_gold(part, str(tmp_path), "facts", "b1")
+    layers.append_layer(df, str(tmp_path), "bronze", "things", "b2", replace_batch=True)
+    assert spark.read.parquet(path).select("batch_id").distinct().collect()[0][0] == "b2"
+    assert not layers.child_folders(spark, gold)
