@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import query, table
+from shelfmark.llm.common import query, stored, table
 
 # a subtree is template once it occurs in so many different pages of its host, and in this share of them
 MIN_PAGES = 10
@@ -266,7 +266,7 @@ def extract(
                 {"key": batch["key"], "host": batch["host"], "subtrees": pa.array([r[0] for r in read], pa.list_(pa.int64())), "body": pa.array([r[1] for r in read], pa.int64())}
             )
 
-    pages = rows.select("key", "host", "html").mapInArrow(subtrees, _PAGE)
+    pages = stored(rows.select("key", "host", "html").mapInArrow(subtrees, _PAGE), "subtrees")
     # one row for each different page and subtree; equal articles of a host are one page
     seen = pages.select("key", "host", "body", F.explode("subtrees").alias("subtree")).distinct()
     counts = seen.select("host", "subtree", "body").distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
