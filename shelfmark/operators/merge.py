@@ -151,11 +151,18 @@ def load_bridge(
     return _appended(existing, pairs.join(existing, ["quote_id", "tag_id"], "left_anti"))
 
 
+def _complete(key: Sequence[str]) -> Column:
+    """Whether no column of the key is NULL; a NULL clashes with nothing."""
+    return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(False)) for c in key], F.lit(True))
+
+
 def _first_of_each_key(df: DataFrame, unique: Sequence[Sequence[str]], order: str) -> DataFrame:
+    """Rows that come first on all their keys by ``order``, which no two rows share."""
     winners = df
     for key in unique:
-        firsts = df.groupBy(*key).agg(F.min(order).alias(order))
-        winners = winners.join(firsts, [*key, order], "left_semi")
+        firsts = df.filter(_complete(key)).groupBy(*key).agg(F.min(order).alias("_first"))
+        later = df.join(firsts, list(key)).filter(F.col(order) > F.col("_first")).select(order)
+        winners = winners.join(later, order, "left_anti")
     return winners
 
 
@@ -164,24 +171,42 @@ def insert_ignore(
 ) -> Merge:
     """Insert rows in ``order``; a row that clashes on any unique key is ignored.
 
-    The outcome is that of inserting one row after the other. With several keys
-    a row only blocks others when it got in itself, so winners are settled in
-    rounds: rows that come first on all their keys go in, rows that clash with
-    them drop out, the rest meets again. Key columns must not be NULL.
+    The outcome is that of inserting one row after the other; of rows equal in
+    ``order`` and in a key, any one counts as the earlier. A key with a NULL
+    column clashes with nothing. With several keys a row only blocks others when
+    it got in itself, so winners are settled in rounds: rows that come first on
+    all their keys go in, rows that clash with them drop out, the rest meets
+    again. Only keys and row numbers move in a round. The earliest row left
+    always goes in, so the rounds end; a chain of rows that each clash with the
+    next takes a round for every second one.
     """
     new = incoming
     for key in unique:
         new = new.join(existing.select(*key), list(key), "left_anti")
     if len(unique) == 1:
-        return _appended(existing, _first_of_each_key(new, unique, order))
-    accepted, rest = None, pinned(new)
+        (key,) = unique
+        whole = new.filter(_complete(key))
+        firsts = whole.groupBy(*key).agg(F.min(order).alias("_first"))
+        first = whole.join(firsts, list(key)).filter(F.col(order).eqNullSafe(F.col("_first")))
+        kept = first.dropDuplicates(list(key)).select(*new.columns)
+        return _appended(existing, kept.unionByName(new.filter(~_complete(key))))
+    # numbered and pinned once: rows equal in order then still come one after the other
+    rows = pinned(new.withColumn("_row", F.monotonically_increasing_id()))
+    keys = list(dict.fromkeys(c for key in unique for c in key))
+    rest = rows.select(F.struct(F.col(order).alias("o"), "_row").alias("_at"), *keys)
+    accepted = None
     while not rest.isEmpty():
-        winners = pinned(_first_of_each_key(rest, unique, order))
-        accepted = winners if accepted is None else accepted.unionByName(winners)
+        winners = pinned(_first_of_each_key(rest, unique, "_at"))
+        if winners.isEmpty():
+            raise RuntimeError("no row of the rest comes first on its keys")
+        accepted = winners.select("_at") if accepted is None else accepted.unionByName(winners.select("_at"))
+        rest = rest.join(winners.select("_at"), "_at", "left_anti")
         for key in unique:
             rest = rest.join(winners.select(*key), list(key), "left_anti")
         rest = pinned(rest)
-    return _appended(existing, accepted if accepted is not None else rest)
+    if accepted is not None:
+        rows = rows.join(accepted.select(F.col("_at._row").alias("_row")), "_row", "left_semi")
+    return _appended(existing, rows.drop("_row"))
 
 
 def insert_into(existing: DataFrame, table: str, incoming: DataFrame, order: str) -> Merge:

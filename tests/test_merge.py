@@ -106,3 +106,29 @@ def test_update_and_counter_delta(spark):
     facts = spark.createDataFrame([(1,), (1,), (None,)], "id int")
     delta = merge.apply_counter_delta(table, facts, facts.limit(1), "id", "n")
     assert rows(delta, "id", "n")[1] == (2, 6)
+
+
+def test_null_keys_never_clash(spark):
+    held = spark.createDataFrame([(1, "a", 0)], "id int, name string, place int")
+    data = [(1, "x", 1), (None, "a", 2), (None, "y", 3), (None, "y", 4), (5, None, 5), (6, None, 6), (5, "z", 7)]
+    new = spark.createDataFrame(data, held.schema)
+    one = merge.insert_ignore(held, new, [("id",)], "place").inserted
+    assert sorted(r.place for r in one.collect()) == [2, 3, 4, 5, 6]
+    two = merge.insert_ignore(held, new, [("id",), ("name",)], "place").inserted
+    assert sorted(r.place for r in two.collect()) == [3, 5, 6]
+
+
+def test_chain_of_clashes_and_repeated_order(spark):
+    held = spark.createDataFrame([], "a int, b int, place int")
+    chain = spark.createDataFrame([(i // 2, (i + 1) // 2, i) for i in range(12)], held.schema)
+    got = merge.insert_ignore(held, chain, [("a",), ("b",)], "place").inserted
+    seen_a, seen_b, expected = set(), set(), []
+    for r in sorted(chain.collect(), key=lambda r: r.place):
+        if r.a not in seen_a and r.b not in seen_b:
+            seen_a.add(r.a), seen_b.add(r.b), expected.append(r.place)
+    assert sorted(r.place for r in got.collect()) == expected
+    tied = spark.createDataFrame([(1, 1, 0), (1, 2, 0), (2, 2, 0)], held.schema)
+    out = merge.insert_ignore(held, tied, [("a",), ("b",)], "place").inserted.collect()
+    assert len({r.a for r in out}) == len({r.b for r in out}) == len(out) > 0
+    single = merge.insert_ignore(held, tied, [("a",)], "place").inserted.collect()
+    assert sorted(r.a for r in single) == [1, 2]
