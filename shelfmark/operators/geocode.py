@@ -95,17 +95,31 @@ def parse_responses(responses: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def one_answer_per_key(answers: DataFrame) -> DataFrame:
+    """The best answer of each key: one with coordinates, then the latest, then the highest score.
+
+    Answers are dated where they have ``queried_at``; ties go by the remaining
+    columns, so the choice is the same in every run.
+    """
+    rest = [c for c in answers.columns if c != "key"]
+    found = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    ranked = [c for c in ("queried_at", "score", "latitude", "longitude", "label", "raw_response") if c in rest]
+    best = F.max_by(F.struct(*rest), F.struct(found.alias("found"), *ranked)).alias("_best")
+    return answers.groupBy("key").agg(best).select("key", *[F.col("_best")[c].alias(c) for c in rest])
+
+
 def geocode(requests: DataFrame, answers: DataFrame) -> DataFrame:
     """One result per request, misses with NULL coordinates and an error.
 
-    ``answers`` holds each key once, so the join never multiplies rows; a key
-    shared by very many requests is split by AQE on the request side.
+    Of several answers to one key only the best counts, so the join never
+    multiplies rows; a key shared by very many requests is split by AQE on the
+    request side.
     """
     key = lookup_key(F.col("address"), F.col("city"), F.col("postcode"))
     asked = requests.select(
         F.col("id").alias("original_id"), "address", key.alias("key")
     )
-    out = asked.join(answers.drop("address"), "key", "left")
+    out = asked.join(one_answer_per_key(answers.drop("address")), "key", "left")
     missing = F.col("latitude").isNull() | F.col("longitude").isNull()
     return out.withColumn("error", F.when(missing, F.lit(NOT_FOUND)))
 

@@ -57,3 +57,11 @@ def test_nearest_address_is_exact_anywhere(spark):
     assert len(found) == len(points)
     for p in points:
         assert found[p[0]] == min(places, key=lambda q: (hav(p, q), q[0]))[0]
+
+
+def test_repeated_answers_count_once(spark):
+    asked = spark.createDataFrame([(1, "20 Avenue", "Paris", "75007")], "id bigint, address string, city string, postcode string")
+    bodies = [("20 avenue|paris|75007", b) for b in ("broken", HIT, HIT, None)]
+    answers = g.parse_responses(spark.createDataFrame(bodies, "key string, body string"))
+    (found,) = g.geocode(asked, answers).collect()
+    assert found.error is None and found.latitude is not None
