@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,11 @@ _ROW_BITS = 33
 
 
 def number_rows(
-    df: DataFrame, name: str, start: int | Column = 1, order: list | None = None
+    df: DataFrame,
+    name: str,
+    start: int | Column = 1,
+    order: list | None = None,
+    pin: Callable[[DataFrame], DataFrame] = pinned,
 ) -> DataFrame:
     """Add a gap-free sequence ``start, start+1, ...`` as ``name``.
 
@@ -21,11 +27,12 @@ def number_rows(
     from the row id; partition offsets come from a count per partition (one row
     per task, so the offset table is bounded by the number of tasks and is
     broadcast). The rows are pinned first: numbers never change on a retry.
+    ``pin`` stores them elsewhere than in the checkpoint folder.
     """
     spark = df.sparkSession
     if order:
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = pinned(df.withColumn("_row", F.monotonically_increasing_id()))
+    rows = pin(df.withColumn("_row", F.monotonically_increasing_id()))
     part = F.shiftright(F.col("_row"), _ROW_BITS)
     counts = rows.groupBy(part.alias("_part")).count().collect()
     offsets, total = [], 0

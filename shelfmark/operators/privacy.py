@@ -21,6 +21,7 @@ RETENTION_DAYS = 30
 IDENTIFIER_TYPES = ("email", "nom", "telephone")
 ERASURE_ACTION = "RGPD_DELETION"
 ERASURE_STATUS = "completed"
+ERASURE_NOT_FOUND, ERASURE_UNKNOWN_TYPE = "not_found", "unknown_type"
 HASH_SHOWN = 16
 
 
@@ -195,28 +196,25 @@ class Erasure(NamedTuple):
     log: DataFrame
 
 
-def erase(
-    bronze: DataFrame,
-    silver: DataFrame,
-    gold: DataFrame,
-    requests: DataFrame,
-    *,
-    salt: str,
-    known: DataFrame | None = None,
-) -> Erasure:
-    """Erase the requested persons from all three layers.
+class Doomed(NamedTuple):
+    asked: Column
+    marked: DataFrame
+    contacts: DataFrame
+    found: DataFrame
 
-    ``requests`` holds (identifier_type, identifier). Bronze rows match on the
-    raw identifier; Silver and Gold match on the pseudonyms of those rows and of
-    ``known``, a stored :func:`identity_map`. Layers only meet distinct request
-    keys, which leaves them unshuffled as long as the requests are few (their
-    number is checked).
+
+def doomed(bronze: DataFrame, requests: DataFrame, *, salt: str, known: DataFrame | None = None) -> Doomed:
+    """Who is asked for: Bronze rows with the condition ``asked``, pseudonyms, requests that name somebody.
+
+    Identifiers are compared without surrounding white space, as Bronze stores
+    them; a blank one names nobody. ``found`` is (identifier_type, identifier_hash).
     """
     marked, hit = bronze, F.lit(False)
+    wanted = requests.withColumn("identifier", strip(F.col("identifier"))).filter("identifier <> ''")
     for kind in IDENTIFIER_TYPES:
         column, flag = f"contact_{kind}", f"_asked_{kind}"
         keys = (
-            requests.filter(F.col("identifier_type") == kind)
+            wanted.filter(F.col("identifier_type") == kind)
             .select(F.col("identifier").alias(column))
             .distinct()
         )
@@ -224,22 +222,50 @@ def erase(
             broadcast_if_small(keys).withColumn(flag, F.lit(True)), column, "left"
         )
         hit = hit | F.coalesce(F.col(flag), F.lit(False))
-    kept = marked.filter(~hit).select(*bronze.columns)
-    erased = marked.filter(hit).select(*bronze.columns)
-    hashes = erased.select(contact_hash(salt).alias("contact_hash"))
+    hashes = marked.filter(hit).select(contact_hash(salt).alias("contact_hash"))
+    asked = wanted.select(
+        "identifier_type", privacy.pseudonym(F.col("identifier"), salt).alias("identifier_hash")
+    ).distinct()
+    named = identity_map(bronze, salt)
     if known is not None:
-        asked = requests.select(
-            "identifier_type", privacy.pseudonym(F.col("identifier"), salt).alias("identifier_hash")
-        )
+        known = known.select(*named.columns)
         hashes = hashes.unionByName(
-            known.join(asked.distinct(), ["identifier_type", "identifier_hash"], "left_semi").select(
-                "contact_hash"
-            )
+            known.join(asked, ["identifier_type", "identifier_hash"], "left_semi").select("contact_hash")
         )
-    doomed = broadcast_if_small(hashes.filter("contact_hash is not null").distinct())
+        named = named.unionByName(known)
+    found = (
+        named.join(asked, ["identifier_type", "identifier_hash"], "left_semi")
+        .select("identifier_type", "identifier_hash")
+        .distinct()
+    )
+    return Doomed(hit, marked, hashes.filter("contact_hash is not null").distinct(), found)
+
+
+def erase(
+    bronze: DataFrame,
+    silver: DataFrame,
+    gold: DataFrame,
+    requests: DataFrame,
+    *,
+    salt: str,
+    known: DataFrame | None = None,
+) -> Erasure:
+    """Erase the requested persons from all three layers.
+
+    ``requests`` holds (identifier_type, identifier). Bronze rows match on the
+    raw identifier; Silver and Gold match on the pseudonyms of those rows and of
+    ``known``, a stored :func:`identity_map`. Layers only meet distinct request
+    keys, which leaves them unshuffled as long as the requests are few (their
+    number is checked). ``shelfmark.plans.pipeline.erase_layers`` rewrites what
+    is stored.
+    """
+    who = doomed(bronze, requests, salt=salt, known=known)
+    kept = who.marked.filter(~who.asked).select(*bronze.columns)
+    erased = who.marked.filter(who.asked).select(*bronze.columns)
+    contacts = broadcast_if_small(who.contacts)
 
     def gone(df: DataFrame) -> Column:
-        return df.join(doomed, "contact_hash", "left_semi").select(F.count("*")).scalar()
+        return df.join(contacts, "contact_hash", "left_semi").select(F.count("*")).scalar()
 
     counts = bronze.sparkSession.range(1).select(
         erased.select(F.count("*")).scalar().alias("bronze_deleted"),
@@ -248,20 +274,31 @@ def erase(
     )
     return Erasure(
         kept,
-        silver.join(doomed, "contact_hash", "left_anti").select(*silver.columns),
-        gold.join(doomed, "contact_hash", "left_anti").select(*gold.columns),
+        silver.join(contacts, "contact_hash", "left_anti").select(*silver.columns),
+        gold.join(contacts, "contact_hash", "left_anti").select(*gold.columns),
         counts,
-        erasure_log(requests, salt),
+        erasure_log(requests, salt, who.found),
     )
 
 
-def erasure_log(requests: DataFrame, salt: str) -> DataFrame:
-    """Audit rows without personal data: the pseudonym is cut to its first digits."""
-    shown = F.left(privacy.pseudonym(F.col("identifier"), salt), F.lit(HASH_SHOWN))
-    return requests.select(
+def erasure_log(requests: DataFrame, salt: str, found: DataFrame) -> DataFrame:
+    """Audit rows without personal data: the pseudonym is cut to its first digits.
+
+    ``found`` holds the (identifier_type, identifier_hash) that named somebody;
+    the status of the other requests says so.
+    """
+    whole = privacy.pseudonym(F.col("identifier"), salt)
+    hits = found.select("identifier_type", "identifier_hash", F.lit(True).alias("_found"))
+    asked = requests.select("identifier_type", whole.alias("identifier_hash"))
+    status = (
+        F.when(F.col("_found"), F.lit(ERASURE_STATUS))
+        .when(F.col("identifier_type").isin(*IDENTIFIER_TYPES), F.lit(ERASURE_NOT_FOUND))
+        .otherwise(F.lit(ERASURE_UNKNOWN_TYPE))
+    )
+    return asked.join(hits, ["identifier_type", "identifier_hash"], "left").select(
         F.current_timestamp().alias("timestamp"),
         F.lit(ERASURE_ACTION).alias("action"),
         "identifier_type",
-        F.concat(shown, F.lit("...")).alias("identifier_hash"),
-        F.lit(ERASURE_STATUS).alias("status"),
+        F.concat(F.left("identifier_hash", F.lit(HASH_SHOWN)), F.lit("...")).alias("identifier_hash"),
+        status.alias("status"),
     )

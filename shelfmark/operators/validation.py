@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,7 @@ from shelfmark.functions import privacy
 from shelfmark.functions.text import WHITESPACE
 from shelfmark.operators.keys import number_rows
 from shelfmark.operators.splits import Split, quarantine_rows
-from shelfmark.session import broadcast_if_small
+from shelfmark.session import broadcast_if_small, pinned
 
 # a data file counts its header as line 1
 FIRST_DATA_LINE = 2
@@ -42,9 +42,9 @@ def row_errors(pad_postcode: bool = False) -> Column:
     return F.array_compact(F.array(*marks))
 
 
-def number_lines(df: DataFrame) -> DataFrame:
-    """Add ``row_number`` as a file shows it, in scan order."""
-    return number_rows(df, "row_number", start=FIRST_DATA_LINE)
+def number_lines(df: DataFrame, pin: Callable[[DataFrame], DataFrame] = pinned) -> DataFrame:
+    """Add ``row_number`` as a file shows it, in scan order; ``pin`` stores the rows meanwhile."""
+    return number_rows(df, "row_number", start=FIRST_DATA_LINE, pin=pin)
 
 
 def validate_partners(df: DataFrame, *, batch_id: str, pad_postcode: bool = False) -> Split:

@@ -19,14 +19,20 @@ from shelfmark.functions.fields import RATE_GBP_EUR
 from shelfmark.operators import cleaning, geocode, merge, pages, privacy, validation
 from shelfmark.operators.splits import QUARANTINE, failure_report
 from shelfmark.plans import analytics
+from shelfmark.session import broadcast_if_small, pinned
 from shelfmark.sources.layers import (
     BRONZE,
+    GOLD,
     SILVER,
     append_layer,
+    layer_path,
     new_batch_id,
+    path_exists,
     read_gold,
     read_layer,
     register_views,
+    remove,
+    rewrite_batches,
     write_gold,
 )
 
@@ -62,7 +68,8 @@ class Settings:
     rate: Decimal = RATE_GBP_EUR
     limit_categories: int | None = None
     max_quote_pages: int | None = None
-    replace_batch: bool = False
+    # a repeated stage replaces what its batch stored before
+    replace_batch: bool = True
 
     def trial(self) -> Settings:
         return replace(
@@ -140,18 +147,29 @@ class Run:
             capped, site_root=self.s.quote_site, source=self.s.quote_source, batch_id=self.batch_id
         )
         # the scan order of the crawl: page, then place on the page
-        ordered = split.good.withColumn(
-            "position", F.col("page_id").cast("bigint") * F.lit(1 << 32) + F.col("position")
-        )
-        self._store(ordered.drop("page_id"), BRONZE, "raw_quotes")
+        places = {c: F.col(c).cast("bigint") for c in ("page_id", "position")}
+        self._store(split.good.withColumns(places), BRONZE, "raw_quotes")
         self._reject("extract_quotes", split.quarantine)
         self._count("quotes", "extracted", self._bronze_quotes())
 
     def _bronze_quotes(self) -> DataFrame:
-        return self._read(BRONZE, "raw_quotes", schemas.RAW_QUOTES + ", position bigint")
+        stored = self._read(BRONZE, "raw_quotes", schemas.RAW_QUOTES + ", page_id bigint, position bigint")
+        return stored.withColumn("place", F.struct("page_id", "position"))
 
     def _extract_shops(self, partners: DataFrame, responses: DataFrame | None) -> None:
-        lines = validation.number_lines(partners)
+        # raw contacts wait in a folder of their own, which goes at the end, never in a checkpoint
+        waiting = layer_path(self.s.root, "import", self.batch_id)
+
+        def held(df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(waiting)
+            return self.spark.read.schema(df.schema).parquet(waiting)
+
+        try:
+            self._import_shops(validation.number_lines(partners, held), responses)
+        finally:
+            remove(self.spark, waiting)
+
+    def _import_shops(self, lines: DataFrame, responses: DataFrame | None) -> None:
         split = validation.validate_partners(lines, batch_id=self.batch_id)
         self._reject("import_shops", split.quarantine)
         raw = privacy.bronze_partners(
@@ -186,8 +204,8 @@ class Run:
         self._reject("transform_books", books.quarantine)
         self._count("books", "transformed", self._silver("clean_books", schemas.CLEAN_BOOKS))
 
-        quotes = cleaning.clean_quotes(self._bronze_quotes(), batch_id=self.batch_id)
-        self._store(quotes.drop("position"), SILVER, "clean_quotes")
+        quotes = cleaning.clean_quotes(self._bronze_quotes(), batch_id=self.batch_id, order="place")
+        self._store(quotes.drop("place"), SILVER, "clean_quotes")
         self._count("quotes", "transformed", self._silver("clean_quotes", schemas.CLEAN_QUOTES))
 
         shops = cleaning.clean_shops(
@@ -303,6 +321,49 @@ def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return gold
 
 
+IDENTITY = "identifier_type string, identifier_hash string, contact_hash string"
+
+# stored collections that hold pseudonyms: layer, name, columns, partition
+_PSEUDONYMS = (
+    (GOLD, "dim_librairies", schemas.GOLD["dim_librairies"], "load_batch"),
+    (SILVER, "clean_librairies", schemas.CLEAN_SHOPS, "batch_id"),
+    (SILVER, "anonymised_librairies", _ANONYMISED, "batch_id"),
+)
+
+
+def erase_layers(spark: SparkSession, root: str, requests: DataFrame, *, salt: str) -> DataFrame:
+    """Erase the requested persons from everything stored below ``root``; returns the log.
+
+    Gold and Silver go first and Bronze and the identity map last, which tell
+    whom a request means: an erasure cut half-way can simply run again. Only
+    batches that hold such a person are rewritten. Pseudonyms alone are pinned.
+    """
+    bronze = read_layer(spark, root, BRONZE, "raw_librairies", schemas.RAW_SHOPS)
+    known = read_layer(spark, root, SILVER, "identity_map", IDENTITY)
+    who = privacy.doomed(bronze, requests, salt=salt, known=known)
+    contacts, log = pinned(who.contacts), pinned(privacy.erasure_log(requests, salt, who.found))
+    small = broadcast_if_small(contacts)
+
+    def rewrite(gone: DataFrame, kept: DataFrame, layer: str, name: str, partition: str) -> None:
+        # one row per affected batch: bounded by the number of stored batches
+        touched = [r[0] for r in gone.select(partition).distinct().collect()]
+        rewrite_batches(kept, layer_path(root, layer, name), touched, partition)
+
+    def by_contact(layer: str, name: str, columns: str, partition: str) -> None:
+        path = layer_path(root, layer, name)
+        if path_exists(spark, path):
+            stored = spark.read.schema(f"{columns}, {partition} string").parquet(path)
+            kept = stored.join(small, "contact_hash", "left_anti").select(*stored.columns)
+            rewrite(stored.join(small, "contact_hash", "left_semi"), kept, layer, name, partition)
+
+    for collection in _PSEUDONYMS:
+        by_contact(*collection)
+    kept = who.marked.filter(~who.asked).select(*bronze.columns)
+    rewrite(who.marked.filter(who.asked), kept, BRONZE, "raw_librairies", "batch_id")
+    by_contact(SILVER, "identity_map", IDENTITY, "batch_id")
+    return log
+
+
 def run_reports(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The validation reports that close a trial run; views are registered as well."""
     gold = gold_tables(spark, root)

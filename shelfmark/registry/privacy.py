@@ -245,11 +245,16 @@ def erase_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "erasure_log",
-    f"""
-with {_REQUESTS}
+    _ERASED
+    + f"""
+, named as (
+  select 'email' as kind, {sql_strip('contact_email')} as value from stored
+  union select 'telephone', {sql_strip('contact_telephone')} from stored
+  union select 'nom', {sql_strip('contact_nom')} from stored)
 select 'RGPD_DELETION' as action, identifier_type,
-       left(sha256('{SALT}:' || identifier), 16) || '...' as identifier_hash, 'completed' as status
-from requests""",
+       left(sha256('{SALT}:' || identifier), 16) || '...' as identifier_hash,
+       if(kind is null, 'not_found', 'completed') as status
+from requests left join named on kind = identifier_type and value = identifier""",
 )
 def erasure_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _erasure(spark, sf_dir).log.drop("timestamp")

@@ -58,6 +58,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    fs, gone = _fs(spark, path)
+    fs.delete(gone, True)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders (or files) directly under ``path``; driver-side listing."""
     fs, jvm_path = _fs(spark, path)

@@ -135,3 +135,41 @@ def test_raw_documents_keep_broken_lines_apart(spark, tmp_path):
     docs = layers.read_documents(spark, str(tmp_path), schemas.RAW_BOOKS).cache()
     assert docs.filter("_corrupt_record is not null").count() == 1
     assert docs.filter("title = 'a'").count() == 1
+
+
+def test_repeated_extract_adds_nothing_and_pages_may_have_large_ids(spark, tmp_path, inputs):
+    far = inputs.quote_pages.withColumn("page_id", F.col("page_id") + (1 << 40))
+    run = pipeline.Run(spark, settings(tmp_path), "b1")
+    for _ in range(2):
+        run.extract(pipeline.Inputs(quote_pages=far))
+    assert [r.n_rows for r in run.summary().collect()] == [6, 6]
+    run.transform()
+    assert run._silver("clean_quotes", schemas.CLEAN_QUOTES).count() == 2
+
+
+def test_erasure_reaches_every_stored_layer(spark, tmp_path):
+    shops = partners(spark, {"contact_email": "gone@x.org", "contact_nom": "Gone Person"}, {"contact_email": "here@x.org", "contact_nom": "Else"})
+    checkpoints = tmp_path / "root"
+    run = pipeline.Run(spark, settings(checkpoints), "b1")
+    run.run(pipeline.Inputs(partners=shops.drop("row_number")))
+    # raw contacts wait in no folder once a stage is over
+    assert not (checkpoints / "import" / "b1").exists()
+    asked = [("email", " gone@x.org "), ("email", "nobody@x.org"), ("fax", "gone@x.org"), ("nom", "")]
+    requests = spark.createDataFrame(asked, "identifier_type string, identifier string")
+    log = pipeline.erase_layers(spark, str(checkpoints), requests, salt="s")
+    assert sorted((r.identifier_type, r.status) for r in log.collect()) == [
+        ("email", "completed"), ("email", "not_found"), ("fax", "unknown_type"), ("nom", "not_found"),
+    ]
+    bronze = layers.read_layer(spark, str(checkpoints), "bronze", "raw_librairies", schemas.RAW_SHOPS)
+    assert rows(bronze, "contact_email") == [("here@x.org",)]
+    known = layers.read_layer(spark, str(checkpoints), "silver", "identity_map", pipeline.IDENTITY)
+    assert known.select("contact_hash").distinct().count() == 1
+    assert layers.read_gold(spark, str(checkpoints), "dim_librairies", schemas.GOLD["dim_librairies"]).count() == 1
+    assert run._silver("clean_librairies", schemas.CLEAN_SHOPS).count() == 1
+    # repeating a later stage brings nobody back
+    run.transform()
+    assert run._silver("clean_librairies", schemas.CLEAN_SHOPS).count() == 1
+    for path in checkpoints.rglob("*.parquet"):
+        assert b"gone@x.org" not in path.read_bytes()
+    again = pipeline.erase_layers(spark, str(checkpoints), requests, salt="s")
+    assert again.filter("status = 'completed'").count() == 0
