@@ -336,7 +336,8 @@ def erase_layers(spark: SparkSession, root: str, requests: DataFrame, *, salt: s
 
     Gold and Silver go first and Bronze and the identity map last, which tell
     whom a request means: an erasure cut half-way can simply run again. Only
-    batches that hold such a person are rewritten. Pseudonyms alone are pinned.
+    batches that hold such a person are rewritten. Pseudonyms are pinned, and the
+    requested identifiers too where Catalyst cannot tell that they are few.
     """
     bronze = read_layer(spark, root, BRONZE, "raw_librairies", schemas.RAW_SHOPS)
     known = read_layer(spark, root, SILVER, "identity_map", IDENTITY)
