@@ -7,6 +7,12 @@ documents of a host and in ``MAX_SHARE`` of them. Boilerplate is removed and a
 document that keeps less than ``1 - MAX_REMOVED`` of its words is rejected.
 Documents with one and the same text count as one, so copies of a text are not
 taken for boilerplate: which of them stays is for deduplication to say.
+:func:`judge` counts near copies as one as well. A text that frequent lines
+deplete is put to those that share one of its ``BODY_KEYS`` rarest frequent
+lines; the lines that half of such a group has are its body, and a text that
+holds more than ``MAX_REMOVED`` of its words in a body is a copy of it. A line
+then counts once per body besides the texts that copy none. The SQL of the query
+``op6_quality_rules`` counts exact copies only, and the query keeps to it.
 
 All of it is DataFrame expressions. Lines are counted per (host, line, text)
 before they are counted per (host, line), so a line that a third of all
@@ -23,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACES, query, small_side, table, words
+from shelfmark.llm.common import SPACES, query, small_side, stored, table, words
 
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
@@ -31,6 +37,7 @@ REPEAT_WINDOW = 8
 MIN_DOCUMENTS = 20
 MAX_SHARE = 0.05
 MAX_REMOVED = 0.8
+BODY_KEYS = 4
 # fixed values: characters counted as symbols
 SYMBOLS = "#*$%&|<>"
 
@@ -110,13 +117,61 @@ def _line_rows(df: DataFrame, host_col: str, text_col: str, *more: str) -> DataF
     return rows.select("h", "k", "total", *more, F.xxhash64("h", "l").alias("line"), size.alias("size"))
 
 
-def frequent_lines(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``line``: hashes of (host, line) above the limits."""
+def _line_counts(df: DataFrame, host_col: str, text_col: str) -> DataFrame:
+    """``line, n, documents``: hashes of (host, line) above the limits, texts with the line, texts of the host."""
     rows = _line_rows(df, host_col, text_col)
     per_line = rows.select("h", "line", "k").distinct().groupBy("h", "line").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCUMENTS)
     host, key = _keys(host_col, text_col)
     hosts = df.select(host.alias("h"), key.alias("k")).distinct().groupBy("h").agg(F.count("*").alias("documents"))
-    return per_line.join(hosts, "h").where(F.col("n") >= MAX_SHARE * F.col("documents")).select("line")
+    return per_line.join(hosts, "h").where(F.col("n") >= MAX_SHARE * F.col("documents")).select("line", "n", "documents")
+
+
+def frequent_lines(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
+    """``line``: hashes of (host, line) above the limits."""
+    return _line_counts(df, host_col, text_col).select("line")
+
+
+def _held(df: DataFrame, counted: DataFrame, host_col: str, text_col: str) -> DataFrame:
+    """``h, k, total, lost, held``: texts with frequent lines, the words of these, and (line, size, n) of each."""
+    rows = _line_rows(df.withColumn("_row", F.monotonically_increasing_id()), host_col, text_col, "_row")
+    each = F.collect_list(F.struct("line", "size", "n"))
+    found = rows.join(counted.select("line", "n"), "line").groupBy("_row", "h", "k", "total").agg(F.sum("size").alias("lost"), each.alias("held"))
+    return found.groupBy("h", "k").agg(*[F.first(c).alias(c) for c in ("total", "lost", "held")])
+
+
+def _copied(poor: DataFrame) -> DataFrame:
+    """``h, k, body``: rows of :func:`_held` that copy a body, each with the largest group in which it does."""
+    ranked = F.array_sort(F.array_distinct(F.transform("held", lambda x: F.struct(x["n"], x["line"]))))
+    keys = F.transform(F.slice(ranked, 1, BODY_KEYS), lambda x: x["line"])
+    members = poor.select("h", "k", "total", "held", F.explode(keys).alias("bucket"))
+    shared = members.select("bucket", F.explode(F.array_distinct(F.col("held.line"))).alias("line")).groupBy("bucket", "line").agg(F.count("*").alias("n"))
+    # every member has the bucket's own line
+    groups = shared.where("line = bucket and n > 1").select("bucket", F.col("n").alias("members"))
+    body = small_side(shared.join(groups, "bucket").where(2 * F.col("n") >= F.col("members")).select("bucket", "line", "members"), "bodies")
+    rows = members.select("h", "k", "total", "bucket", F.explode("held").alias("x")).select("h", "k", "total", "bucket", "x.line", "x.size")
+    own = rows.join(body, ["bucket", "line"]).groupBy("h", "k", "total", "bucket").agg(F.sum("size").alias("same"), F.max("members").alias("members"))
+    own = own.where(F.col("same") > MAX_REMOVED * F.col("total"))
+    return own.groupBy("h", "k").agg(F.max(F.struct("members", "bucket"))["bucket"].alias("body"))
+
+
+def _boilerplate(counted: DataFrame, held: DataFrame) -> DataFrame:
+    """``line``: the frequent lines that stay above the limits when copies of a body count as one."""
+    poor = held.where(F.col("lost") > MAX_REMOVED * F.col("total"))
+    lines = poor.join(_copied(poor), ["h", "k"]).select("body", F.explode(F.array_distinct(F.col("held.line"))).alias("line"))
+    per_body = lines.groupBy("line", "body").agg(F.count("*").alias("copies"))
+    fewer = per_body.groupBy("line").agg(F.sum(F.col("copies") - 1).alias("fewer"))
+    n = F.col("n") - F.coalesce("fewer", F.lit(0))
+    return counted.join(fewer, "line", "left").where((n >= MIN_DOCUMENTS) & (n >= MAX_SHARE * F.col("documents"))).select("line")
+
+
+def depleted_but_copies(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
+    """As :func:`depleted`, with near copies of a text counted as one."""
+    counted = small_side(_line_counts(df, host_col, text_col), "lines")
+    held = stored(_held(df, counted, host_col, text_col), "held")
+    lines = small_side(_boilerplate(counted, held), "boilerplate")
+    rows = held.select("h", "k", "total", F.explode("held").alias("x")).select("h", "k", "total", "x.line", "x.size")
+    lost = rows.join(lines, "line").groupBy("h", "k", "total").agg(F.sum("size").alias("lost"))
+    return lost.where(F.col("lost") > MAX_REMOVED * F.col("total")).select("h", "k")
 
 
 def depleted(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -140,10 +195,11 @@ def without_frequent_lines(df: DataFrame, host_col: str = "source", text_col: st
     return rows.join(stay, "_id", "left").withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.coalesce(text, F.lit("")))).drop("_id", "_h", "_stay")
 
 
-def judge(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``df`` with the counts, ``base_failed`` and ``kept``."""
+def judge(df: DataFrame, host_col: str = "source", text_col: str = "text", near_copies: bool = True) -> DataFrame:
+    """``df`` with the counts, ``base_failed`` and ``kept``; ``near_copies``: count near copies as one, as exact ones are."""
     host, key = _keys(host_col, text_col)
-    poor = small_side(depleted(df, host_col, text_col), "depleted").select(
+    found = depleted_but_copies if near_copies else depleted
+    poor = small_side(found(df, host_col, text_col), "depleted").select(
         F.col("h").alias("_poor_host"), F.col("k").alias("_poor_text")
     )
     judged = counts(df.drop("kept"), text_col)
@@ -191,5 +247,5 @@ from base
 
 @query("op6_quality_rules", _sql())
 def op6_quality_rules(spark, sf_dir) -> DataFrame:
-    judged = judge(table(spark, sf_dir, "documents"))
+    judged = judge(table(spark, sf_dir, "documents"), near_copies=False)
     return judged.select("doc_id", *COUNTS, "base_failed", "kept")

@@ -53,3 +53,18 @@ def test_run_on_supplied_documents(spark):
     ids = {x.doc_id for x in out.select("doc_id").collect()}
     assert 0 < len(ids) < 200
     assert P.run.__name__ == "run" and out.agg({"length": "max"}).first()[0] <= 2048
+
+
+def test_a_large_group_of_near_copies_leaves_one(spark):
+    r = random.Random(6)
+    fresh = lambda n: " ".join(f"w{r.randint(0, 50_000)}" for _ in range(n))
+    body = [fresh(12) for _ in range(9)]
+    rows = [(i, fresh(80)) for i in range(100)]
+    for i in range(60):
+        lines = list(body)
+        lines[i % 9] = f"{lines[i % 9]} also{i}"
+        rows.append((1000 + i, "\n".join(lines)))
+    docs = spark.createDataFrame([(i, t, "en", "hot", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in P.STAGES[:-1]:
+        docs = P.stored(stage(spark, docs, ""), name)
+    assert {x.doc_id for x in docs.collect()} == {*range(100), 1000}

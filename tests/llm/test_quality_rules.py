@@ -57,3 +57,31 @@ def test_documents_of_boilerplate_are_rejected(spark):
     cut = {r.doc_id: r.text for r in Q.without_frequent_lines(df).collect()}
     assert cut[3] == own(3) and cut[100] == "words here" and cut[101] == rows[31][1] and cut[None] is None
     assert Q.judge(df.limit(0)).collect() == []
+
+
+def near_copies(r, start, n, n_lines, source):
+    """Rows of ``n`` texts of one body: in each a line is replaced or has a word changed."""
+    body = [" ".join(f"b{start}l{j}w{i}" for i in range(10)) for j in range(n_lines)]
+    rows = []
+    for i in range(n):
+        lines = list(body)
+        at = r.randrange(n_lines)
+        lines[at] = f"changed{i} {lines[at]}" if i % 2 else " ".join(f"new{i}x{j}" for j in range(10))
+        rows.append((start + i, "\n".join(lines) if i else "\n".join(body), source))
+    return rows
+
+
+def test_near_copies_count_as_one(spark):
+    r = random.Random(3)
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    menu = [" ".join(f"m{j}w{k}" for k in range(9)) for j in range(3)]
+    pool = [" ".join(f"p{j}w{k}" for k in range(9)) for j in range(12)]
+    rows = [(i, "\n".join([*menu, own(i)]), "hot") for i in range(100)]
+    rows += near_copies(r, 1000, 300, 8, "hot") + near_copies(r, 2000, 60, 30, "hot")
+    rows += [(3000 + i, own(3000 + i), "small") for i in range(380)] + near_copies(r, 4000, 20, 12, "small")
+    # nothing but boilerplate: the menu of full pages, and lines of a pool in any order
+    rows += [(5000 + i, "\n".join([*menu, f"only this {i}"]), "hot") for i in range(40)]
+    rows += [(6000 + i, "\n".join(r.sample(pool, 4)), "mixed") for i in range(200)]
+    df = spark.createDataFrame([(*x, 1, "x") for x in rows], SCHEMA)
+    kept = {x.doc_id for x in Q.judge(df).where("kept").collect()}
+    assert kept == {x[0] for x in rows if x[0] < 5000}
