@@ -21,8 +21,9 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return quality_rules.judge(docs).where("kept").select(COLUMNS)
+    """Boilerplate lines are cut out; documents that the quality rules reject go."""
+    clean = quality_rules.cleaned(docs.select(COLUMNS))
+    return clean.withColumn("n_chars", F.when(F.col("n_cut") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACES, query, small_side, stored, table, words
+from shelfmark.llm.common import BROADCAST_ROWS, SPACES, query, small_side, stored, table, words
 
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
@@ -164,23 +164,35 @@ def _boilerplate(counted: DataFrame, held: DataFrame) -> DataFrame:
     return counted.join(fewer, "line", "left").where((n >= MIN_DOCUMENTS) & (n >= MAX_SHARE * F.col("documents"))).select("line")
 
 
-def depleted_but_copies(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """As :func:`depleted`, with near copies of a text counted as one."""
+def line_verdicts(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
+    """``h, k, poor, cut``: texts with boilerplate (near copies counted as one), whether it depletes them, and its lines."""
     counted = small_side(_line_counts(df, host_col, text_col), "lines")
     held = stored(_held(df, counted, host_col, text_col), "held")
     lines = small_side(_boilerplate(counted, held), "boilerplate")
     rows = held.select("h", "k", "total", F.explode("held").alias("x")).select("h", "k", "total", "x.line", "x.size")
-    lost = rows.join(lines, "line").groupBy("h", "k", "total").agg(F.sum("size").alias("lost"))
-    return lost.where(F.col("lost") > MAX_REMOVED * F.col("total")).select("h", "k")
+    found = rows.join(lines, "line").groupBy("h", "k", "total").agg(F.sum("size").alias("lost"), F.collect_set("line").alias("cut"))
+    return found.select("h", "k", (F.col("lost") > MAX_REMOVED * F.col("total")).alias("poor"), "cut")
 
 
-def depleted(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``h, k``: hosts and texts that lose more than ``MAX_REMOVED`` of their words with the frequent lines."""
-    frequent = small_side(frequent_lines(df, host_col, text_col), "lines")
-    # a number per document keeps copies of a text apart until their sums are compared
-    rows = _line_rows(df.withColumn("_row", F.monotonically_increasing_id()), host_col, text_col, "_row")
-    lost = rows.join(frequent, "line").groupBy("_row", "h", "k", "total").agg(F.sum("size").alias("lost"))
-    return lost.where(F.col("lost") > MAX_REMOVED * F.col("total")).select("h", "k").distinct()
+def depleted_but_copies(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
+    """As :func:`depleted`, with near copies of a text counted as one."""
+    return line_verdicts(df, host_col, text_col).where("poor").select("h", "k")
+
+
+def cleaned(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The documents that :func:`judge` keeps, with boilerplate cut out of their texts, and ``n_cut`` (lines cut)."""
+    host, key = _keys(host_col, text_col)
+    found = stored(line_verdicts(df, host_col, text_col), "verdicts")
+    # rows hold lists here, so their numbers are counted
+    numbers = found.agg(F.sum(F.size("cut") + 3)).first()[0] or 0
+    marks = (F.broadcast(found) if numbers <= BROADCAST_ROWS else found).select(F.col("h").alias("_h"), F.col("k").alias("_k"), F.col("poor").alias("_poor"), F.col("cut").alias("_cut"))
+    rows = df.drop("n_cut").join(marks, (host == F.col("_h")) & (key == F.col("_k")), "left").where(~F.coalesce("_poor", F.lit(False)))
+    rows = counts(rows, text_col).where(~F.col("base_failed")).drop("base_failed", *[c for c in COUNTS if c not in df.columns])
+    lines = F.split(text_col, "\n")
+    stay = F.filter(lines, lambda x: ~F.array_contains("_cut", F.xxhash64("_h", F.lower(F.array_join(words(x), " ")))))
+    n_cut = F.when(F.col("_cut").isNull(), 0).otherwise(F.size(lines) - F.size(stay)).cast("bigint")
+    text = F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))
+    return rows.withColumns({"n_cut": n_cut, text_col: text}).drop("_h", "_k", "_poor", "_cut")
 
 
 def without_frequent_lines(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:

@@ -68,3 +68,17 @@ def test_a_large_group_of_near_copies_leaves_one(spark):
     for name, stage in P.STAGES[:-1]:
         docs = P.stored(stage(spark, docs, ""), name)
     assert {x.doc_id for x in docs.collect()} == {*range(100), 1000}
+
+
+def test_boilerplate_is_cut_from_kept_documents(spark):
+    r = random.Random(7)
+    fresh = lambda n: " ".join(f"w{r.randint(0, 50_000)}" for _ in range(n))
+    line, own = "Read more about our nine offers in this shop", [fresh(40) for _ in range(60)]
+    rows = [(i, f"{t}\n\n{line if i % 2 else line.upper()}" if i < 30 else t, "a") for i, t in enumerate(own)]
+    rows += [(100, f"{line}\nlittle else", "a"), (101, f"{line}\n{own[0]}", "b")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = P.quality(spark, docs, "")
+    assert out.columns == P.COLUMNS
+    got = {x.doc_id: (x.text, x.n_chars) for x in out.collect()}
+    want = {i: f"{t}\n" if i < 30 else t for i, t in enumerate(own)} | {101: rows[-1][1]}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
