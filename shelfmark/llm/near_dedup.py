@@ -7,12 +7,13 @@ they stand in the text; two texts agree on a sketch if they share those
 shingles in that order, so agreement follows edit similarity. Nodes that agree
 on one of ``SKETCHES`` sketches share a bucket.
 
-No bucket is paired out. Its leader, drawn by a hash of bucket and node, is
-compared with the others; leaders differ from bucket to bucket, so members of a
-large group meet many of them. Components of the verified links follow. Where a
-bucket then still holds several components, small buckets compare all pairs
-from different components, and large ones compare a second leader with every
-member outside its component.
+No bucket of near texts is paired out. Its leader, drawn by a hash of bucket and
+node, is compared with the others; leaders differ from bucket to bucket, so
+members of a large group meet many of them. Components of the verified links
+follow. While a bucket still holds several components, more and more of the
+members outside its largest one, drawn likewise, are compared with every member
+of another component, until all of them have been: then each pair of a bucket
+is compared or joined. Pairs whose lengths alone rule a link out are left out.
 
 A pair is linked when the word-level edit distance, computed inside a band just
 wide enough for the threshold, is at most ``1 - SIMILARITY`` of the longer text.
@@ -38,8 +39,8 @@ from shelfmark.llm.word_ids import parts
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 24
-# buckets of up to so many nodes compare all pairs from different components in the second round
-SMALL_BUCKET = 16
+# leaders of a bucket in the round after the first, and how many times as many in each further one
+LEADERS, MORE = 16, 8
 _PLACE_BITS = 28
 
 _U = np.uint64
@@ -176,23 +177,27 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def _leaders(members: DataFrame, label: str = "id") -> DataFrame:
-    draw = F.xxhash64("bucket", label)
-    return members.groupBy("bucket").agg(F.min(F.struct(draw.alias("draw"), F.col("id"), F.col(label).alias("label"))).alias("lead"), F.count("*").alias("n"))
-
-
 def _pairs(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets with several components; ``out``: outside the largest one, ``n_out``: how many of the bucket are."""
+    named = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
+    kept = mixed.select("bucket", F.col("main.label").alias("main"), (F.col("n") - F.col("main.n")).alias("n_out"))
+    return named.join(kept, "bucket").withColumn("out", F.col("label") != F.col("main")).drop("main")
+
+
 def near_classes(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     similarity: float = SIMILARITY, n_sketches: int = SKETCHES, shingle: int = SHINGLE,
 ) -> DataFrame:
-    """``id_col, text_id, class_id, links`` for every row.
+    """``id_col, text_id, class_id`` for every row.
 
     ``text_id`` is the smallest id with the same text, ``class_id`` the smallest
-    id of all near texts, ``links`` the number of verified links of the text.
+    id of all near texts.
     """
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t"))
     keys = rows.select("id", F.coalesce(F.md5("t"), F.lit("")).alias("key"))
@@ -205,35 +210,39 @@ def near_classes(
                 n_words, found = sketches(batch["t"], n_sketches, shingle)
                 offsets = pa.array(np.arange(len(found) + 1) * n_sketches, pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(found.ravel(), pa.int64()))
-                yield pa.record_batch({"id": batch["id"], "found": lists}).filter(pa.array(n_words > 0))
+                yield pa.record_batch({"id": batch["id"], "size": pa.array(n_words, pa.int64()), "found": lists}).filter(pa.array(n_words > 0))
 
     nodes = copies.where("id = text_id").select("id").distinct()
-    found = rows.where("id is not null").mapInArrow(sketch, "id bigint, found array<bigint>").join(nodes, "id", "left_semi")
-    members = stored(found.select("id", F.explode("found").alias("bucket")).distinct(), "buckets")
-    lead = _leaders(members).where("n > 1").select("bucket", F.col("lead.id").alias("leader"))
-    stars = members.join(lead, "bucket").where("id <> leader").select(*_pairs("id", "leader")).distinct()
+    found = rows.where("id is not null").mapInArrow(sketch, "id bigint, size bigint, found array<bigint>").join(nodes, "id", "left_semi")
+    members = stored(found.select("id", "size", F.explode("found").alias("bucket")).distinct(), "buckets")
+    most = F.floor(F.lit(1 - similarity) * F.greatest("size", "size2") + 1e-9)
+    fits = F.abs(F.col("size") - F.col("size2")) <= most
+    lead = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "id").alias("draw"), "id", "size")).alias("lead"), F.count("*").alias("n")).where("n > 1")
+    lead = lead.select("bucket", F.col("lead.id").alias("id2"), F.col("lead.size").alias("size2"))
+    pairs = members.join(lead, "bucket").where((F.col("id") != F.col("id2")) & fits).select(*_pairs("id", "id2")).distinct()
     docs = rows.where("id is not null and t is not null")
-    tried = stored(stars, "pairs")
+    tried = stored(pairs, "pairs")
     links = stored(linked(tried, docs, similarity), "links")
     labels = components(links)
-    # buckets that still hold several components
-    named = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low <> high")
-    open_ = stored(named.join(mixed, "bucket").select("bucket", "id", "label", "n"), "open")
-    small = open_.where(F.col("n") <= SMALL_BUCKET)
-    other = small.select("bucket", F.col("id").alias("id2"), F.col("label").alias("label2"))
-    rest = small.join(other, "bucket").where("id < id2 and label <> label2").select(*_pairs("id", "id2"))
-    large = open_.where(F.col("n") > SMALL_BUCKET)
-    second = _leaders(large, "label").select("bucket", F.col("lead.id").alias("leader"), F.col("lead.label").alias("label2"))
-    rest = rest.union(large.join(second, "bucket").where("label <> label2").select(*_pairs("id", "leader")))
-    more = stored(linked(rest.distinct().join(tried, ["a", "b"], "left_anti"), docs, similarity), "links")
-    links = links.union(more).distinct()
-    labels = components(links)
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("text_id")).agg(F.count("*").alias("links"))
-    named = copies.join(labels.withColumnRenamed("id", "text_id"), "text_id", "left").join(degree, "text_id", "left")
-    return named.select(
-        F.col("id").alias(id_col), "text_id", F.coalesce("label", "text_id").alias("class_id"), F.coalesce("links", F.lit(0).cast("bigint")).alias("links")
-    )
+    share = F.shiftrightunsigned(F.xxhash64(F.lit("lead"), "bucket", "id"), 11) / F.lit(float(1 << 53))
+    drawn = LEADERS
+    open_ = stored(_open(members, labels), "open")
+    while open_.limit(1).count():
+        leaders = open_.where(F.col("out") & (share * F.col("n_out") < drawn))
+        leaders = leaders.select("bucket", F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("size").alias("size2"))
+        pairs = open_.join(leaders, "bucket").where((F.col("label") != F.col("label2")) & fits).select(*_pairs("id", "id2")).distinct()
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.union(pairs)
+        more = stored(linked(pairs, docs, similarity), "links")
+        # a bucket all of whose members outside the largest component have led is done
+        members = open_.where(F.col("n_out") > drawn).select("id", "size", "bucket")
+        if more.limit(1).count():
+            links = links.union(more)
+            labels = components(links)
+        open_ = stored(_open(members, labels), "open")
+        drawn *= MORE
+    named = copies.join(labels.withColumnRenamed("id", "text_id"), "text_id", "left")
+    return named.select(F.col("id").alias(id_col), "text_id", F.coalesce("label", "text_id").alias("class_id"))
 
 
 @query("op9_near_dedup")

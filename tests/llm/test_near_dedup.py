@@ -99,3 +99,19 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90)], "a long, b long")
     got = {x.id: x.label for x in components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 90, 90: 90}
+
+
+def test_pairs_inside_a_hot_bucket_of_unlike_texts(spark):
+    r = random.Random(9)
+    form = [f"f{i}" for i in range(60)]
+    # most of each text is one form, so that nearly all buckets of a pair are hot; 20 pairs and 60 single texts
+    rows = []
+    for g in range(80):
+        own = [f"g{g}w{i}" for i in range(26)]
+        for k in range(2 if g < 20 else 1):
+            words = form + own
+            words[70] = f"n{g}k{k}"
+            rows.append((10 * g + k, " ".join(words)))
+    r.shuffle(rows)
+    got = {x.doc_id: x.class_id for x in near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i // 10 * 10 for i, _ in rows}
