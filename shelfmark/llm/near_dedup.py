@@ -1,11 +1,13 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
 Documents with one text are one node (its smallest id). A node's shingles are
-its windows of five words, each labelled with its number among equal ones. A
+its windows of three words, each labelled with its number among equal ones. A
 sketch keeps the two labelled shingles of smallest hash in the order in which
 they stand in the text; two texts agree on a sketch if they share those
 shingles in that order, so agreement follows edit similarity. Nodes that agree
-on one of ``SKETCHES`` sketches share a bucket.
+on one of ``SKETCHES`` sketches share a bucket. A changed word spoils three
+windows, too many for a short text: texts of up to ``SHORT`` words are sketched
+by single words, and those that may be near both kinds of texts in both ways.
 
 No bucket of near texts is paired out. Its leader, drawn by a hash of bucket and
 node, is compared with the others; leaders differ from bucket to bucket, so
@@ -18,8 +20,7 @@ is compared or joined. Pairs whose lengths alone rule a link out are left out.
 A pair is linked when the word-level edit distance, computed inside a band just
 wide enough for the threshold, is at most ``1 - SIMILARITY`` of the longer text.
 
-Cases: a text of under five words has one shingle, all its words; texts without
-words are near only to equal ones; null counts as a text of its own kind (all
+Cases: texts without words are near only to equal ones; null counts as a text of its own kind (all
 null texts are copies). A row without an id takes the class of an equal text
 with one, else it has none. If an id repeats, its texts share a node. An empty
 table gives an empty table.
@@ -36,7 +37,9 @@ from shelfmark.llm import vector as V
 from shelfmark.llm.common import query, stored, table
 from shelfmark.llm.word_ids import parts
 
-SHINGLE = 5
+SHINGLE = 3
+# texts of up to so many words are sketched by single words
+SHORT = 15
 SIMILARITY = 0.8
 SKETCHES = 24
 # leaders of a bucket in the round after the first, and how many times as many in each further one
@@ -207,10 +210,15 @@ def near_classes(
     def sketch(batches):
         for whole in batches:
             for batch in parts(whole, "t"):
-                n_words, found = sketches(batch["t"], n_sketches, shingle)
-                offsets = pa.array(np.arange(len(found) + 1) * n_sketches, pa.int32())
-                lists = pa.ListArray.from_arrays(offsets, pa.array(found.ravel(), pa.int64()))
-                yield pa.record_batch({"id": batch["id"], "size": pa.array(n_words, pa.int64()), "found": lists}).filter(pa.array(n_words > 0))
+                n_words = None
+                # the shortest text that a text of SHORT + 1 words can be near has windows as well
+                for length, low, high in ((shingle, int((SHORT + 1) * similarity), None), (1, 1, SHORT)):
+                    if high is not None:
+                        batch = batch.filter(pa.array(n_words <= high))
+                    n_words, found = sketches(batch["t"], n_sketches, length)
+                    offsets = pa.array(np.arange(len(found) + 1) * n_sketches, pa.int32())
+                    lists = pa.ListArray.from_arrays(offsets, pa.array(found.ravel(), pa.int64()))
+                    yield pa.record_batch({"id": batch["id"], "size": pa.array(n_words, pa.int64()), "found": lists}).filter(pa.array(n_words >= low))
 
     nodes = copies.where("id = text_id").select("id").distinct()
     found = rows.where("id is not null").mapInArrow(sketch, "id bigint, size bigint, found array<bigint>").join(nodes, "id", "left_semi")
