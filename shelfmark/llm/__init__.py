@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("substring_dedup", "packing", "token_files", "byte_bpe", "quality_rules", "sharding", "weighted_fingerprints", "secret_scan", "near_dedup", "html_text", "fill_in_middle", "divergence_audit")
+MODULES = ("substring_dedup", "packing", "token_files", "byte_bpe", "quality_rules", "sharding", "weighted_fingerprints", "secret_scan", "near_dedup", "html_text", "fill_in_middle", "lm_scoring", "divergence_audit")
 
 
 def load():
