@@ -18,6 +18,7 @@ MODULES = (
     "extraction",
     "geocoding",
     "storage",
+    "runs",
 )
 
 
