@@ -64,6 +64,46 @@ def blocks(html: str, tag: str, css_class: str | None = None) -> str:
     return f"regexp_extract_all({html}, {quoted(element(tag, css_class))}, 1)"
 
 
+def _fresh_name(stem: str) -> str:
+    return f"{stem}{next(_fresh)}"
+
+
+def balanced_blocks(html: str, tag: str, css_class: str | None = None) -> str:
+    """Inner markup of every matching element up to its own end tag, in document order.
+
+    Start and end tags named ``tag`` are marked and the markup is split at
+    them. Each piece adds +1 (a start tag), -1 (an end tag) or 0 (anything
+    else, a self-closing tag included) to a running depth; an element ends at
+    the first end tag after it where the depth comes back to what it was
+    before the element. Elements of the same name inside are therefore kept
+    whole, and each of them is a block of its own when it matches. An element
+    whose end tag is missing gives no block.
+    """
+    mark = quoted(rf"(?i)(</?{tag}(?:[\s/][^>]*)?>)")
+    pieces = f"split(regexp_replace({html}, {mark}, concat(chr(1), '$1', chr(1))), chr(1))"
+    start = quoted(rf"(?is)^{open_tag(tag, css_class)}$")
+
+    def kind(x: str) -> str:
+        return f"case when {x} like '</%' then -1 when {x} rlike {quoted(rf'(?is)^<{tag}(?:[\s/][^>]*)?>$')} and {x} not like '%/>' then 1 else 0 end"
+
+    def body(p: str) -> str:
+        x, k, i, j, a, y, e = (_fresh_name(n) for n in "xkijaye")
+
+        def with_kinds(ks: str) -> str:
+            def with_depths(ds: str) -> str:
+                end = f"get(filter(sequence({i} + 1, size({p})), {j} -> {j} > {i} and {j} < size({p}) and get({ks}, {j}) = -1 and get({ds}, {j}) = get({ds}, {i}) - 1), 0)"
+                opens = f"filter(sequence(0, size({p}) - 1), {i} -> get({ks}, {i}) = 1 and get({p}, {i}) rlike {start})"
+                found = f"transform({opens}, {i} -> {let(end, lambda en: f'if({en} is null, null, array_join(slice({p}, {i} + 2, {en} - {i} - 1), {quoted("")}))')})"
+                return f"filter({found}, {e} -> {e} is not null)"
+
+            depths = f"transform({ks}, ({k}, {i}) -> aggregate(slice({ks}, 1, {i} + 1), 0, ({a}, {y}) -> {a} + {y}))"
+            return let(depths, with_depths)
+
+        return let(f"transform({p}, {x} -> {kind(x)})", with_kinds)
+
+    return let(pieces, body)
+
+
 def inner(html: str, tag: str, css_class: str | None = None) -> str:
     """Inner markup of the first matching element; NULL when there is none."""
     return f"get({blocks(html, tag, css_class)}, 0)"

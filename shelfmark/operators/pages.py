@@ -17,10 +17,20 @@ PIPELINE_VERSION = "1.0"
 
 
 def page_blocks(
-    pages: DataFrame, tag: str, css_class: str | None = None, keep: tuple[str, ...] = ()
+    pages: DataFrame,
+    tag: str,
+    css_class: str | None = None,
+    keep: tuple[str, ...] = (),
+    balanced: bool = False,
 ) -> DataFrame:
-    """One row per matching element: page_id, url, kept columns, position, block."""
-    found = F.expr(m.blocks(m.without_scripts("html"), tag, css_class))
+    """One row per matching element: page_id, url, kept columns, position, block.
+
+    ``balanced``: an element reaches its own end tag, elements of the same name
+    inside it included (:func:`markup.balanced_blocks`); otherwise it ends at
+    the first end tag of its name.
+    """
+    read = m.balanced_blocks if balanced else m.blocks
+    found = F.expr(read(m.without_scripts("html"), tag, css_class))
     return pages.select("page_id", "url", *keep, F.posexplode(found).alias("position", "block"))
 
 
@@ -189,7 +199,8 @@ def quote_cards(
     """Bronze quotations. ``strict`` rejects a card without text or author."""
     author_link = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*/author/[^"']*)["']"""
     tag = m.strip(m.plain_text("tag"))
-    found = page_blocks(pages, "div", "quote").selectExpr(
+    # a card holds divs of its own: it reaches its own end tag
+    found = page_blocks(pages, "div", "quote", balanced=True).selectExpr(
         "page_id",
         "position",
         f"{m.plain_text(m.inner('block', 'span', 'text'))} as text",

@@ -70,6 +70,30 @@ def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.block_text(blocks).select("page_id", "position", "text")
 
 
+@query(
+    "page_blocks_nested",
+    f"""
+with pg as (
+  select page_id, string_split(regexp_replace({_CLEAN}, '(?i)(</?div(?:[\\s/][^>]*)?>)', chr(1) || '\\1' || chr(1), 'g'), chr(1)) as p
+  from pages),
+pc as (select page_id, unnest(p) as piece, generate_subscripts(p, 1) as i from pg),
+k as (select *, case when piece like '</%' then -1
+                     when regexp_matches(piece, '(?is)^<div(?:[\\s/][^>]*)?>$') and piece not like '%/>' then 1 else 0 end as kind
+      from pc),
+d as (select *, sum(kind) over (partition by page_id order by i) as depth from k),
+ends as (select o.page_id, o.i, min(c.i) as j from d o join d c on c.page_id = o.page_id and c.i > o.i
+         and c.kind = -1 and c.depth = o.depth - 1 where o.kind = 1 group by o.page_id, o.i),
+blocks as (select e.page_id, e.i, coalesce(string_agg(x.piece, '' order by x.i), '') as block
+           from ends e left join d x on x.page_id = e.page_id and x.i > e.i and x.i < e.j group by e.page_id, e.i)
+select page_id, (row_number() over (partition by page_id order by i) - 1)::int as position, {sql_strip(_text('block'))} as text
+from blocks""",
+)
+def page_blocks_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every div up to its own end tag, divs inside it included."""
+    blocks = pg.page_blocks(b.table(spark, sf_dir, "pages"), "div", balanced=True)
+    return pg.block_text(blocks).select("page_id", "position", "text")
+
+
 @query(
     "page_headings",
     f"""
