@@ -57,10 +57,12 @@ def tokens(text: Column) -> Column:
 
 def trigrams(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
     """A row per token: ``keep`` columns, ``u, v`` (its history) and ``w``."""
-    padded = F.concat(F.array(F.lit(BEGIN), F.lit(BEGIN)), tokens(F.col(text_col)))
-    steps = F.sequence(F.lit(2), F.size(padded) - 1)
-    each = F.transform(steps, lambda i: F.struct(F.get(padded, i - 2).alias("u"), F.get(padded, i - 1).alias("v"), F.get(padded, i).alias("w")))
-    return df.select(*keep, F.inline(each))
+    # the tokens become a column first: inside the lambda an expression would be evaluated again for every token
+    rows = df.select(*keep, F.concat(F.array(F.lit(BEGIN), F.lit(BEGIN)), tokens(F.col(text_col))).alias("_t"))
+    t = F.col("_t")
+    steps = F.sequence(F.lit(2), F.size(t) - 1)
+    each = F.transform(steps, lambda i: F.struct(F.get(t, i - 2).alias("u"), F.get(t, i - 1).alias("v"), F.get(t, i).alias("w")))
+    return rows.select(*keep, F.inline(each))
 
 
 def held_out(doc_id: Column) -> Column:
