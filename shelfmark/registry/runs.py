@@ -116,7 +116,7 @@ c2 as (select id_librairie, ca_annuel, id_ca_annuel from c1 union all
 
 @query(
     "normalised_run_shops",
-    _SHOPS + "select id_ca_annuel, id_librairie, nom_librairie, ca_annuel from c2 join l2 using (id_librairie)",
+    _SHOPS + "select id_ca_annuel, id_librairie, nom_librairie, cast(ca_annuel as double) as ca_annuel from c2 join l2 using (id_librairie)",
 )
 def normalised_run_shops(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _shop_runs(spark, sf_dir)
