@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import privacy
@@ -47,6 +47,31 @@ def number_lines(df: DataFrame, pin: Callable[[DataFrame], DataFrame] = pinned)
     return number_rows(df, "row_number", start=FIRST_DATA_LINE, pin=pin)
 
 
+def number_lines_per_file(df: DataFrame, pin: Callable[[DataFrame], DataFrame] = pinned) -> DataFrame:
+    """Add ``row_number`` as each file shows it, from ``FIRST_DATA_LINE`` in every file, and ``_file``.
+
+    ``df`` must be read from files. A split of a file is read in file order by
+    one task, so a row's place in its split is its row id less the split's
+    first; splits of a file follow their start byte, and a running sum of
+    their row counts, one row per split, gives each split its offset. Rows are
+    pinned first, so the numbers stay on a retry.
+    """
+    rows = pin(
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+    )
+    splits = rows.groupBy("_file", "_start").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    # one row per split of a file: a window per file stays small
+    before = F.sum("_n").over(Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1))
+    splits = broadcast_if_small(splits.select("_file", "_start", "_first", F.coalesce(before, F.lit(0)).alias("_offset")))
+    line = F.lit(FIRST_DATA_LINE) + F.col("_offset") + F.col("_row") - F.col("_first")
+    return rows.join(splits, ["_file", "_start"]).withColumn("row_number", line).drop("_start", "_row", "_first", "_offset")
+
+
 def validate_partners(df: DataFrame, *, batch_id: str, pad_postcode: bool = False) -> Split:
     """Good rows, and one quarantine row per error keyed by line number.
 

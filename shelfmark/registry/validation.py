@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from shelfmark.operators import validation as v
 from shelfmark.operators.cleaning import clean_books
 from shelfmark.registry.base import query, sql_strip, with_star
 from shelfmark.registry.cleaning import BATCH, PARTNERS_SQL, RAW_BOOKS_SQL
+from shelfmark.session import checkpoint_dir
 
 _EMAIL = "^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$"
 
@@ -52,6 +55,34 @@ def partner_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.validate_partners(b.partners(spark, sf_dir), batch_id=BATCH).quarantine
 
 
+# rows of a written partner file at most
+FILE_ROWS = 100_000
+
+
+@query(
+    "partner_file_lines",
+    f"""
+with {PARTNERS_SQL}
+select n_regionkey as region, c_custkey // {FILE_ROWS} as part,
+       1 + row_number() over (partition by n_regionkey, c_custkey // {FILE_ROWS} order by c_custkey) as row_number,
+       p.nom_librairie
+from partners p join customer on c_custkey = p.row_number - 2 join nation on c_nationkey = n_nationkey""",
+)
+def partner_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partner rows written as delimited files, one per region and block of keys, read back and numbered file by file."""
+    keys = b.table(spark, sf_dir, "customer").join(b.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = b.partners(spark, sf_dir).join(keys.select("c_custkey", "n_regionkey"), F.col("row_number") - 2 == F.col("c_custkey"))
+    sheet = [c for c in rows.columns if c not in ("row_number", "c_custkey", "n_regionkey")]
+    placed = rows.select(*sheet, F.col("n_regionkey").alias("region"), F.floor(F.col("c_custkey") / FILE_ROWS).alias("part"), "c_custkey")
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/partner-files-{uuid.uuid4().hex}"
+    # each file is written by one task in key order: its lines are the rows in that order
+    ordered = placed.repartition("region", "part").sortWithinPartitions("region", "part", "c_custkey").drop("c_custkey")
+    ordered.write.partitionBy("region", "part").option("header", True).csv(folder)
+    files = spark.read.option("header", True).csv(folder)
+    numbered = v.number_lines_per_file(files)
+    return numbered.select(F.col("region").cast("bigint"), F.col("part").cast("bigint"), "row_number", "nom_librairie")
+
+
 @query(
     "validation_stats",
     f"""
