@@ -1,7 +1,8 @@
 """Secrets in texts: candidates by shape, false positives removed by a random forest.
 
 A candidate is a run of at least sixteen characters of the alphabets that keys
-and tokens are written in, cut out of a word. Its features are its length, its
+and tokens are written in, cut out of a word once a link's scheme and host are
+taken off (a user name and password before ``@`` stay). Its features are its length, its
 character classes and transitions between them, how much of it words of the
 corpus' dictionary cover, whether it looks like a path, a link or an
 identifier, and the words before it. The forest is trained on labelled findings:
@@ -38,6 +39,7 @@ TREES, DEPTH, SEED = 24, 8, 11
 MARK = "<secret>"
 
 _RUN = r"[A-Za-z0-9_+/=.~\-]{16,}"
+_HOST = r"(?i)(?:\b[a-z][a-z0-9+.\-]*:)?//(?:([^/@\s]*)@)?[^/?#\s]*"
 # fixed values: names that announce a secret, and names that announce what is mistaken for one
 _ANNOUNCE = r"(?i)(secret|token|passw|pwd|api.?key|apikey|access.?key|private.?key|auth|bearer|credential)"
 _HARMLESS = r"(?i)(sha\d*|md5|commit|checksum|digest|hash|uuid|guid|revision|version|build|isbn|card|order|phone|ref|path|file|url)"
@@ -59,7 +61,9 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = rows.select("id", "w", F.explode(found).alias("f"))
     before = lambda k: F.coalesce(F.get("w", F.col("f.i") - k), F.lit(""))
     rows = rows.select("id", F.col("f.i").cast("bigint").alias("word"), F.col("f.raw").alias("raw"), before(1).alias("before"), before(2).alias("before2"))
-    runs = rows.select("*", F.explode(F.regexp_extract_all("raw", F.lit(_RUN), F.lit(0))).alias("run"))
+    # a link's scheme and host are no secret; what a user wrote before "@" stays, and no run crosses the cut
+    bare = F.regexp_replace("raw", _HOST, "$1 ")
+    runs = rows.select("*", F.explode(F.regexp_extract_all(bare, F.lit(_RUN), F.lit(0))).alias("run"))
     # a run such as name=value is cut at the first sign that is not padding
     value = F.regexp_replace(F.regexp_replace("run", r"^[A-Za-z_.\-]{2,30}=+(?=.{12})", ""), r"[.\-~/]+$", "")
     return runs.withColumn("secret", value).where(F.length("secret") >= 12).drop("run")
