@@ -15,7 +15,11 @@ members of a large group meet many of them. Components of the verified links
 follow. While a bucket still holds several components, more and more of the
 members outside its largest one, drawn likewise, are compared with every member
 of another component, until all of them have been: then each pair of a bucket
-is compared or joined. Pairs whose lengths alone rule a link out are left out.
+is compared, joined or ruled out. Lengths rule a link out, and so do the rarest
+words: of two linked texts of ``n`` words at most, ``0.8 n`` are common, so among
+each one's ``floor(0.2 n) + 1`` rarest words (in one order for all) stands a common
+one. Members meet on the bucket and such a word, so unlike texts that share a
+bucket for a common passage do not meet at all.
 
 A pair is linked when the word-level edit distance, computed inside a band just
 wide enough for the threshold, is at most ``1 - SIMILARITY`` of the longer text.
@@ -30,7 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm import vector as V
@@ -49,6 +53,18 @@ _PLACE_BITS = 28
 _U = np.uint64
 
 
+def _numbered(names: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """``names``, each with its number among equal ones of its owner mixed in (``owner`` ascends)."""
+    order = np.lexsort((names, owner))
+    same = np.zeros(len(names), bool)
+    same[1:] = (names[order][1:] == names[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+    run = np.arange(len(names))
+    run -= np.maximum.accumulate(np.where(same, 0, run))
+    label = names.copy()
+    label[order] += run.astype(_U) * _U(0x9E3779B97F4A7C15)
+    return label
+
+
 def sketches(texts, n_sketches: int = SKETCHES, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Words of each text, and its sketches (a row a text; zeros for a text without words)."""
     raw, at = V.string_buffers(texts)
@@ -65,14 +81,7 @@ def sketches(texts, n_sketches: int = SKETCHES, shingle: int = SHINGLE) -> tuple
     place = np.arange(count.sum()) - head[owner]
     lo = first[:-1][busy][owner] + place
     names = V.slice_hashes(words, lo, lo + np.minimum(n_words[busy], shingle)[owner])
-    # number among equal shingles of the text
-    order = np.lexsort((place, names, owner))
-    same = np.zeros(len(names), bool)
-    same[1:] = (names[order][1:] == names[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-    run = np.arange(len(names))
-    run -= np.maximum.accumulate(np.where(same, 0, run))
-    label = names.copy()
-    label[order] += run.astype(_U) * _U(0x9E3779B97F4A7C15)
+    label = _numbered(names, owner)
     low = _U((1 << _PLACE_BITS) - 1)
     single = count == 1
     for k in range(n_sketches):
@@ -193,6 +202,35 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(kept, "bucket").withColumn("out", F.col("label") != F.col("main")).drop("main")
 
 
+def _rare_words(docs: DataFrame, open_: DataFrame, similarity: float) -> DataFrame:
+    """``id, size, word, place`` of the rarest words of each node of ``open_``: two linked texts share one of them.
+
+    A word (with its number among equal ones of the text) is the rarer the fewer
+    of these texts have it; ``place`` counts in that order from 0. Words of one
+    text alone stand first and are left out.
+    """
+
+    def split(batches):
+        for whole in batches:
+            for batch in parts(whole, "t"):
+                raw, at = V.string_buffers(batch["t"])
+                starts, ends, first = V.word_bounds(raw, at)
+                size = np.diff(first)
+                named = _numbered(V.word_hashes(raw, starts, ends), np.repeat(np.arange(len(size)), size))
+                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(named.view(np.int64), pa.int64()))
+                yield pa.record_batch({"id": batch["id"], "size": pa.array(size, pa.int64()), "text": batch["text"], "words": lists})
+
+    texts = docs.join(open_.select("id").distinct(), "id", "left_semi").select("id", F.xxhash64("t").alias("text"), "t")
+    texts = stored(texts.mapInArrow(split, "id bigint, size bigint, text bigint, words array<bigint>"), "words")
+    each = texts.select("id", "size", "text", F.explode("words").alias("word"))
+    common = each.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    text = Window.partitionBy("id", "size", "text")
+    # rows may repeat: equal words of one text have one rank
+    ranked = each.join(common, "word").withColumn("rank", F.dense_rank().over(text.orderBy("n", "word")))
+    ranked = ranked.withColumn("place", F.col("size") - F.max("rank").over(text) + F.col("rank") - 1)
+    return stored(ranked.where(F.col("place") <= F.floor(F.lit(1 - similarity) * F.col("size") + 1e-9)).select("id", "size", "word", "place").distinct(), "rare")
+
+
 def near_classes(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     similarity: float = SIMILARITY, n_sketches: int = SKETCHES, shingle: int = SHINGLE,
@@ -235,10 +273,14 @@ def near_classes(
     share = F.shiftrightunsigned(F.xxhash64(F.lit("lead"), "bucket", "id"), 11) / F.lit(float(1 << 53))
     drawn = LEADERS
     open_ = stored(_open(members, labels), "open")
+    rare = _rare_words(docs, open_, similarity)
+    # words before the first common one are in no other text of the pair
+    common = F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2")) >= F.greatest("size", "size2") - most
     while open_.limit(1).count():
-        leaders = open_.where(F.col("out") & (share * F.col("n_out") < drawn))
-        leaders = leaders.select("bucket", F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("size").alias("size2"))
-        pairs = open_.join(leaders, "bucket").where((F.col("label") != F.col("label2")) & fits).select(*_pairs("id", "id2")).distinct()
+        leaders = open_.where(F.col("out") & (share * F.col("n_out") < drawn)).join(rare, ["id", "size"])
+        leaders = leaders.select("bucket", "word", *[F.col(c).alias(c + "2") for c in ("id", "label", "size", "place")])
+        met = open_.join(rare, ["id", "size"]).join(leaders, ["bucket", "word"])
+        pairs = met.where((F.col("label") != F.col("label2")) & fits & common).select(*_pairs("id", "id2")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.union(pairs)
         more = stored(linked(pairs, docs, similarity), "links")

@@ -134,3 +134,25 @@ def test_recall_near_the_threshold(spark):
         missed[share][0] += x.class_id != 2 * g
     print(missed)
     assert missed[0][0] == 0 and missed[0.12][0] <= 2 and missed[0.15][0] <= 3 and missed[0.18][0] <= 8 and missed[0.2][0] <= 13
+
+
+def test_unlike_texts_of_a_hot_bucket_do_not_meet(spark, monkeypatch):
+    from shelfmark.llm import near_dedup
+
+    r = random.Random(17)
+    form = [f"f{i}" for i in range(60)]
+    rows = [(i, " ".join(form + [f"g{i}w{k}" for k in range(26)])) for i in range(200)]
+    # two near texts that keep only words of the form in common with the others, and a repeated row
+    rows += [(500, rows[7][1].replace("g7w3", "n")), (500, rows[7][1].replace("g7w3", "n"))]
+    r.shuffle(rows)
+    tried, linked = [], near_dedup.linked
+
+    def counted(pairs, *rest):
+        tried.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "linked", counted)
+    got = {x.doc_id: x.class_id for x in near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 7 if i == 500 else i for i, _ in rows}
+    # the leaders of the first round meet every member; after that only words decide
+    assert sum(tried[1:]) <= 400, tried
