@@ -185,6 +185,8 @@ def geocode_stats(requests: DataFrame, answers: DataFrame) -> DataFrame:
 # Cell edges in degrees, coarse to fine; each level splits a cell into 8 x 8.
 _LEVELS = (32.0, 4.0, 0.5, 0.0625, 0.0078125)
 EARTH_KM = 6371.0088
+# levels whose cells are few on any globe
+_BROADCAST_LEVELS = 3
 
 
 def _cell(lat: Column, lon: Column, size: float) -> Column:
@@ -231,6 +233,11 @@ def nearest_address(points: DataFrame, gazetteer: DataFrame) -> DataFrame:
     bounding box could beat the closest representative seen so far. A step is
     an equi join on the cell (at most 64 children each), never a product, and
     the pruning is exact because the box bound is never above a true distance.
+
+    The grid bounds the cells of the first three levels (259,200 of half a
+    degree), whatever the tables hold: they are broadcast, so a point stays in
+    one task until then. Further down it leaves out, before any exchange, the
+    cells that the closest representative of the levels above rules out.
     """
     spots = (
         gazetteer.dropna(subset=["latitude", "longitude"])
@@ -255,7 +262,7 @@ def nearest_address(points: DataFrame, gazetteer: DataFrame) -> DataFrame:
     def boxes(level: int) -> DataFrame:
         parent = F.col(f"c{level - 1}") if level else F.lit(0).cast("bigint")
         # any member serves as representative: it only has to be a real address
-        return spots.groupBy(parent.alias("parent"), F.col(f"c{level}").alias("cell")).agg(
+        cells = spots.groupBy(parent.alias("parent"), F.col(f"c{level}").alias("cell")).agg(
             F.struct(
                 F.min("lat").alias("lat_min"),
                 F.max("lat").alias("lat_max"),
@@ -264,24 +271,30 @@ def nearest_address(points: DataFrame, gazetteer: DataFrame) -> DataFrame:
             ).alias("box"),
             F.min(F.struct("lat", "lon")).alias("rep"),
         )
+        return F.broadcast(cells) if level < _BROADCAST_LEVELS else cells
 
-    front = here.withColumn("parent", F.lit(0).cast("bigint"))
     plat, plon = F.col("plat"), F.col("plon")
+    # a hair of slack keeps rounding from cutting off the true cell
+    slack = F.lit(1e-15)
+    # NaN is above every number, and equal to itself; this window deals the points out once for those below,
+    # which else would exchange each point with all cells of the first level
+    none_yet = F.min(F.lit(float("nan"))).over(W.partitionBy("plat", "plon"))
+    front = here.select("plat", "plon", F.lit(0).cast("bigint").alias("parent"), none_yet.alias("best"))
     for level in range(len(_LEVELS)):
         options = front.join(boxes(level), "parent").select(
             "plat",
             "plon",
             "cell",
+            "best",
             _lower_bound(plat, plon, F.col("box")).alias("low"),
             _haversine(plat, plon, F.col("rep.lat"), F.col("rep.lon")).alias("high"),
-        )
+        ).filter(F.col("low") <= F.col("best") + slack)
         # a point meets a bounded number of cells, so its window stays small
-        best = F.min("high").over(W.partitionBy("plat", "plon"))
+        best = F.least("best", F.min("high").over(W.partitionBy("plat", "plon")))
         front = (
             options.withColumn("best", best)
-            # a hair of slack keeps rounding from cutting off the true cell
-            .filter(F.col("low") <= F.col("best") + F.lit(1e-15))
-            .select("plat", "plon", F.col("cell").alias("parent"))
+            .filter(F.col("low") <= F.col("best") + slack)
+            .select("plat", "plon", F.col("cell").alias("parent"), "best")
         )
     leaf = spots.select(F.col(f"c{len(_LEVELS) - 1}").alias("parent"), "lat", "lon", "address_id")
     pairs = front.join(leaf, "parent").select(

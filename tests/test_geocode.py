@@ -65,3 +65,16 @@ def test_repeated_answers_count_once(spark):
     answers = g.parse_responses(spark.createDataFrame(bodies, "key string, body string"))
     (found,) = g.geocode(asked, answers).collect()
     assert found.error is None and found.latitude is not None
+
+
+def test_coarse_cells_move_no_points(spark):
+    cells = [(i, float(i % 160 - 80), float(i * 7 % 340 - 170)) for i in range(50)]
+    df = spark.createDataFrame(cells, "point_id long, latitude double, longitude double")
+    spots = spark.createDataFrame(cells, "address_id long, latitude double, longitude double")
+    out = g.nearest_address(df, spots)
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    # no exchange between the windows of the coarse levels, whose points meet all cells of a level
+    steps = [x for line in plan for x in ("Window [", "Exchange hashpartitioning", "BroadcastHashJoin") if x in line and "BroadcastExchange" not in line]
+    assert any(steps[i : i + 4] == ["Window [", "BroadcastHashJoin"] * 2 for i in range(len(steps))), "\n".join(plan)
+    got = {x.point_id: (x.address_id, x.distance_km) for x in out.collect()}
+    assert all(got[i] == (i, 0.0) for i, _, _ in cells)
