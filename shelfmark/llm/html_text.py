@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 
 import pyarrow as pa
 import xxhash
@@ -278,14 +279,21 @@ def extract(
     found = seen.select("key", "host", "subtree").distinct().join(many, ["host", "subtree"])
     templates = found.groupBy("key").agg(F.collect_set("subtree").alias("templates"))
 
+    # the sources cross the network once, to meet their templates: compressed
+    def squeeze(batches):
+        for batch in batches:
+            packed = [None if x is None else zlib.compress(x.encode(), 1) for x in batch["html"].to_pylist()]
+            yield batch.set_column(batch.schema.get_field_index("html"), "html", pa.array(packed, pa.binary()))
+
     def cut(batches):
         for batch in batches:
             pairs = zip(batch["html"].to_pylist(), batch["templates"].to_pylist(), strict=True)
-            texts = [page_text(source, frozenset(gone or ())) for source, gone in pairs]
+            texts = [page_text(source and zlib.decompress(source).decode(), frozenset(gone or ())) for source, gone in pairs]
             yield pa.record_batch({"id": batch["id"], "url": batch["url"], "text": pa.array(texts, pa.string())})
 
     kind = rows.schema["id"].dataType.simpleString()
-    joined = rows.select("key", "id", "url", "html").join(templates, "key", "left")
+    packed = rows.select("key", "id", "url", "html").mapInArrow(squeeze, f"key bigint, id {kind}, url string, html binary")
+    joined = packed.join(templates, "key", "left")
     text = joined.select("id", "url", "html", "templates").mapInArrow(cut, f"id {kind}, url string, text string")
     return text.select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("bigint").alias("n_chars")

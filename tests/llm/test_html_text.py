@@ -55,3 +55,12 @@ def test_supplied_pages(spark):
         import html
 
         assert re.sub(r"\s", "", html.unescape(plain)) == re.sub(r"\s", "", r.text)
+
+
+def test_sources_cross_the_network_compressed(spark):
+    rows = [(i, f"http://h{i % 2}.example/{i}", None if i == 3 else f"<html><body><article><p>Tëxt {i} of the page.</p></article></body></html>") for i in range(8)]
+    out = extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {x.page_id: x.text for x in out.collect()} == {i: "" if i == 3 else f"Tëxt {i} of the page." for i in range(8)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # read, then squeezed before they meet their templates
+    assert plan.count("MapInArrow squeeze") == 1, plan
