@@ -34,6 +34,15 @@ def page_blocks(
     return pages.select("page_id", "url", *keep, F.posexplode(found).alias("position", "block"))
 
 
+def read_once(df: DataFrame, *fields: str) -> DataFrame:
+    """``df.selectExpr(*fields)``, with every field computed once a row, however often later steps use it.
+
+    Catalyst replaces a name in a filter by its whole expression to push the filter down, so each use would
+    read the markup again; it pushes nothing that uses a generator's output below the generator.
+    """
+    return df.selectExpr(f"inline(array(struct({', '.join(fields)})))")
+
+
 def page_text(pages: DataFrame, tag: str | None = None) -> DataFrame:
     """Text content of the page, or of the first ``tag`` element in it."""
     part = "html" if tag is None else m.inner("html", tag)
@@ -117,7 +126,8 @@ def book_cards(pages: DataFrame, *, site_root: str, source: str, batch_id: str)
     """Bronze books from listing pages (page_id, url, category, html)."""
     cards = page_blocks(pages, "article", "product_pod", keep=("category",))
     # raw field texts first: the second projection uses some of them more than once
-    found = cards.withColumn("heading", F.expr(m.inner("block", "h3"))).selectExpr(
+    found = read_once(
+        cards.withColumn("heading", F.expr(m.inner("block", "h3"))),
         "page_id",
         "position",
         "category",
@@ -157,7 +167,8 @@ def book_cards_normalised(pages: DataFrame, *, site_root: str, batch_id: str) ->
     """Books of the normalised variant: strict rating, boolean stock, numeric price."""
     cards = page_blocks(pages, "article", "product_pod", keep=("category",))
     price_box = m.inner("block", "div", "product_price")
-    found = cards.selectExpr(
+    found = read_once(
+        cards,
         "page_id",
         "position",
         "category",
@@ -200,7 +211,8 @@ def quote_cards(
     author_link = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*/author/[^"']*)["']"""
     tag = m.strip(m.plain_text("tag"))
     # a card holds divs of its own: it reaches its own end tag
-    found = page_blocks(pages, "div", "quote", balanced=True).selectExpr(
+    found = read_once(
+        page_blocks(pages, "div", "quote", balanced=True),
         "page_id",
         "position",
         f"{m.plain_text(m.inner('block', 'span', 'text'))} as text",

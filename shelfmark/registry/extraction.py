@@ -164,6 +164,8 @@ def _fmt(template: str, *args: Column) -> Column:
 
 def book_pages(part: DataFrame) -> DataFrame:
     """A listing page per part: its card, at times a broken card, at times a next link."""
+    # a page takes far longer to read than its row is wide: a small file of few row groups would leave most cores idle
+    part = part.repartition(4 * part.sparkSession.sparkContext.defaultParallelism)
     key = F.col("p_partkey")
     words = F.array(*[F.lit(w) for w in ("One", "Two", "Three", "Four", "Five", "Zero")])
     title = F.when(b.every("p_partkey", 7), F.lit("")).otherwise(

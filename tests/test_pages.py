@@ -80,3 +80,10 @@ def test_quote_cards(quote_page):
     assert stats.asDict() == {
         "pages": 1, "records": 1, "errors": 1, "unique_authors": 1, "unique_tags": 2,
     }
+
+
+def test_filters_do_not_read_the_markup_again(book_page):
+    good, bad = pages.book_cards_normalised(book_page, site_root="http://site.org/", batch_id="b")
+    for df in (good, bad):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("star-rating") - plan.count('class="star-rating') == 1
