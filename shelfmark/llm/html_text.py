@@ -21,6 +21,7 @@ The result has its own columns.
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 import zlib
 
@@ -223,17 +224,41 @@ class _Page:
                 return found
         return self.root
 
+    def _kept(self) -> list:
+        return [(words, owner) for words, owner in self.blocks if owner.inside and (owner.tag in _HEADINGS or not owner.header)]
+
+    def parts(self) -> tuple[list[int], list[int], list[str], list[int]]:
+        """Parent and fingerprint of each subtree around main text that may be a template part (parents first), and
+        its blocks with the innermost such subtree around each (-1: none)."""
+        kept, around = self._kept(), {id(self.root): None}
+        for x in self.nodes[1:]:
+            around[id(x)] = x if x.own else around[id(x.parent)]
+        used = set()
+        for _, owner in kept:
+            up = around[id(owner)]
+            while up is not None and id(up) not in used:
+                used.add(id(up))
+                up = around[id(up.parent)]
+        number, parents, marks = {id(None): -1}, [], []
+        for x in self.nodes[1:]:
+            if id(x) in used:
+                number[id(x)] = len(marks)
+                parents.append(number[id(around[id(x.parent)])])
+                marks.append(x.hash)
+        return parents, marks, [words for words, _ in kept], [number[id(around[id(owner)])] for _, owner in kept]
+
     def text(self, templates=frozenset()) -> list[str]:
         """Blocks of main text outside the given subtrees."""
-        gone = set()
-        if templates:
-            for x in self.nodes[1:]:
-                if id(x.parent) in gone or x.own and x.hash in templates:
-                    gone.add(id(x))
-        return [
-            words for words, owner in self.blocks
-            if owner.inside and id(owner) not in gone and (owner.tag in _HEADINGS or not owner.header)
-        ]
+        return _outside(self.parts(), templates) if templates else [words for words, _ in self._kept()]
+
+
+def _outside(parts, templates) -> list[str]:
+    """Blocks of :meth:`_Page.parts` outside the given subtrees."""
+    parents, marks, blocks, places = parts
+    gone: list[bool] = []
+    for up, mark in zip(parents, marks, strict=True):
+        gone.append(up >= 0 and gone[up] or mark in templates)
+    return [words for words, place in zip(blocks, places, strict=True) if place < 0 or not gone[place]]
 
 
 def page_text(source: str | None, templates=frozenset()) -> str:
@@ -279,22 +304,22 @@ def extract(
     found = seen.select("key", "host", "subtree").distinct().join(many, ["host", "subtree"])
     templates = found.groupBy("key").agg(F.collect_set("subtree").alias("templates"))
 
-    # the sources cross the network once, to meet their templates: compressed
+    # only the main text and the subtrees around it cross the network, to meet their templates: compressed
     def squeeze(batches):
         for batch in batches:
-            packed = [None if x is None else zlib.compress(x.encode(), 1) for x in batch["html"].to_pylist()]
-            yield batch.set_column(batch.schema.get_field_index("html"), "html", pa.array(packed, pa.binary()))
+            packed = [zlib.compress(json.dumps(_Page(x or "").parts(), separators=(",", ":")).encode()) for x in batch["html"].to_pylist()]
+            yield batch.set_column(batch.schema.get_field_index("html"), "html", pa.array(packed, pa.binary())).rename_columns(["key", "id", "url", "parts"])
 
     def cut(batches):
         for batch in batches:
-            pairs = zip(batch["html"].to_pylist(), batch["templates"].to_pylist(), strict=True)
-            texts = [page_text(source and zlib.decompress(source).decode(), frozenset(gone or ())) for source, gone in pairs]
+            pairs = zip(batch["parts"].to_pylist(), batch["templates"].to_pylist(), strict=True)
+            texts = ["\n".join(_outside(json.loads(zlib.decompress(x)), frozenset(gone or ()))) for x, gone in pairs]
             yield pa.record_batch({"id": batch["id"], "url": batch["url"], "text": pa.array(texts, pa.string())})
 
     kind = rows.schema["id"].dataType.simpleString()
-    packed = rows.select("key", "id", "url", "html").mapInArrow(squeeze, f"key bigint, id {kind}, url string, html binary")
+    packed = rows.select("key", "id", "url", "html").mapInArrow(squeeze, f"key bigint, id {kind}, url string, parts binary")
     joined = packed.join(templates, "key", "left")
-    text = joined.select("id", "url", "html", "templates").mapInArrow(cut, f"id {kind}, url string, text string")
+    text = joined.select("id", "url", "parts", "templates").mapInArrow(cut, f"id {kind}, url string, text string")
     return text.select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("bigint").alias("n_chars")
     )

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from shelfmark.llm.html_text import extract, page_text
+from shelfmark.llm.html_text import _Page, extract, page_text
 
 
 @pytest.mark.parametrize(
@@ -64,3 +64,14 @@ def test_sources_cross_the_network_compressed(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     # read, then squeezed before they meet their templates
     assert plan.count("MapInArrow squeeze") == 1, plan
+
+
+def test_only_main_text_meets_the_templates():
+    box = "<div class='box'><p>Welcome</p><section><p>to us</p></section></div>"
+    page = _Page(f"<body><nav>{'menu ' * 500}</nav><main><header><h1>H</h1><p>by</p></header>{box}<div><p>own &lt;words&gt;</p></div></main></body>")
+    parents, marks, blocks, places = page.parts()
+    assert blocks == ["H", "Welcome", "to us", "own <words>"] and all(up < i for i, up in enumerate(parents))
+    inner, outer = marks[places[2]], marks[places[1]]
+    assert marks[parents[places[2]]] == outer
+    assert page.text({inner}) == ["H", "Welcome", "own <words>"]
+    assert page.text({outer}) == ["H", "own <words>"] and page.text() == blocks
