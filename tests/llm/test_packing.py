@@ -53,3 +53,31 @@ def test_digest(spark, tmp_path):
     for r in QUERIES["op2_packing"](spark, str(tmp_path)).collect():
         ids = want[r.doc_id][r.start : r.start + r.length]
         assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_new_words_with_known_letters_are_not_encoded_again():
+    from shelfmark.llm.word_ids import WordIds
+
+    words = WordIds(PATH)
+    seen, whole = [], words.known.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, batch, **more):
+            seen.extend(batch)
+            return whole.encode_batch_fast(batch, **more)
+
+    words.known.tokenizer = Counted()
+    text = "Alpha, alpha. alpha&&& (alpha ALPHA!! crème Crème; x1y2. it's IT'S, T̈ rest"
+    assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == plain_ids([text])[0]
+    assert not any("alpha" in w.lower() and w.lower() != "(alpha" or "crème" in w.lower() for w in seen), seen
+
+
+def test_words_of_odd_characters():
+    from shelfmark.llm.word_ids import WordIds
+
+    r = random.Random(6)
+    pool = "aZTẗ́éÀßÿµªº÷×'’.,&$<|>09²½İſΣσςǅ 漢あ가ᄀ\xad\x7f\x00\x1c\x85‍٠😀-_sSeErRlLdDmM"
+    corpus = ["".join(r.choice(pool) for _ in range(r.randint(0, 14))) for _ in range(20000)]
+    corpus += ["<|endoftext|>.", "A.<|startoftext|>b", "<|STARTOFTEXT|>", "Ends,<|endoftext|>"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in WordIds(PATH).encode(corpus)]
+    assert got == plain_ids(corpus)
