@@ -10,7 +10,7 @@ Two values compare by ``f = floor((p - q)^2 / (p + q))``.
 Part ``pair``: for a group and each other source of its language, ``f`` summed
 over all kept terms. Most terms of a group have count 0, where ``p`` is the
 group's zero baseline ``z``. The sums are built by Gustavson row accumulation:
-the postings of a group (its terms with count > 0) are joined with the
+the postings of a group (its terms with count > 0) stand in the
 term-major index (per term: the sources that have it and their ``p``) and each
 posting scatters ``f(p, a) - f(z, a)`` into the group's dense accumulator over
 all peers, ``a`` being the index row with the peers' baselines filled in. The
@@ -31,22 +31,29 @@ result; the input's other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import query, small_side, stored, table
+from shelfmark.llm.word_ids import parts
 
 # fixed values: what a term is, the least documents of a kept term, the scale of profile values, terms listed a group
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-# what lies between terms
-_GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCUMENTS = 10
 SCALE = 1_000_000_000
 TOP_TERMS = 10
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# each byte as it stands in terms: A-Z lower-cased, a space where TERM has a gap
+_TO_TERMS = bytes(ord(chr(b).lower()) if b < 128 and chr(b).isalpha() else b if b >= 128 else 32 for b in range(256))
+# rows of an Arrow batch, and distinct terms that a task holds before it hands them on
+_ROWS = 1 << 14
+_HELD = 1 << 19
 
 
 def _p(count, n, v):
@@ -60,30 +67,58 @@ def _f(p, q):
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
+def _tally(batches):
+    """Occurrences and documents of the terms met in a task: rows ``lang, source, term, count, documents``, at times more than one a term."""
+    found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+    def rows():
+        for (lang, source), (count, documents) in found.items():
+            n = len(count)
+            for lo in range(0, n, _ROWS):
+                terms = list(islice(count, lo, lo + _ROWS))
+                yield pa.record_batch(
+                    {
+                        "lang": pa.array([lang] * len(terms), pa.string()),
+                        "source": pa.array([source] * len(terms), pa.string()),
+                        "term": pa.array(terms, pa.binary()).cast(pa.string()),
+                        "count": pa.array(map(count.__getitem__, terms), pa.int64(), size=len(terms)),
+                        "documents": pa.array(map(documents.__getitem__, terms), pa.int64(), size=len(terms)),
+                    }
+                )
+        found.clear()
+
+    for whole in batches:
+        for batch in parts(whole, "t"):
+            for lang, source, text in zip(*(batch[c].to_pylist() for c in ("lang", "source", "t")), strict=True):
+                # gaps become spaces; what is left are letters and bytes beyond ASCII
+                terms = text.encode().translate(_TO_TERMS).split()
+                count, documents = found.setdefault((lang, source), (Counter(), Counter()))
+                count.update(terms)
+                documents.update(set(terms))
+            if sum(len(count) for count, _ in found.values()) > _HELD:
+                yield from rows()
+    yield from rows()
+
+
 def term_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``lang, source, term, count, documents``: occurrences and documents of each term in each group."""
-    text = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _UPPER.lower())
-    rows = df.select(
-        F.coalesce("lang", F.lit("")).alias("lang"),
-        F.coalesce("source", F.lit("")).alias("source"),
-        # the runs between gaps are the terms: a split is cheaper than extracting matches
-        F.array_sort(F.array_remove(F.split(text, _GAP), "")).alias("w"),
-    )
-    # sorted, so a term's first occurrence in a document differs from the one before it
-    marked = F.transform("w", lambda x, i: F.struct(x.alias("term"), ((i == 0) | (x != F.get(F.col("w"), i - 1))).cast("int").alias("first")))
-    found = rows.select("lang", "source", F.inline(marked))
-    return found.groupBy("lang", "source", "term").agg(F.count("*").alias("count"), F.sum("first").alias("documents"))
+    """``lang, source, term, count, documents``: occurrences and documents of each term in each group, dealt by (lang, term)."""
+    rows = df.select(*(F.coalesce(c, F.lit("")).alias(a) for c, a in (("lang", "lang"), ("source", "source"), (text_col, "t"))))
+    found = rows.mapInArrow(_tally, "lang string, source string, term string, count bigint, documents bigint")
+    # counted in the tasks already: dealt out as they are, once for all that is done by term
+    found = found.repartition("lang", "term")
+    return found.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("documents").alias("documents"))
 
 
 def profiles(df: DataFrame, text_col: str = "text"):
-    """``groups`` (lang, source, g, n, v, z), ``langs`` (lang, v, zs), ``postings`` (lang, source, g, term, count, p, z), ``lang_p`` (lang, term, q)."""
+    """``groups`` (lang, source, g, n, v, z), ``langs`` (lang, n, v, zs), ``index`` (lang, term, q and ``at``: g and p of each source that has the term)."""
+    # a term has a row for each source: few in one window
+    df_ = F.sum("documents").over(Window.partitionBy("lang", "term"))
+    kept = term_counts(df, text_col).withColumn("df", df_).where(F.col("df") >= MIN_DOCUMENTS)
     # read by several branches: counted once, from one pass over the texts
-    counts = stored(term_counts(df, text_col), "term-counts")
-    per_lang = counts.groupBy("lang", "term").agg(F.sum("documents").alias("df"), F.sum("count").alias("c"))
-    kept = per_lang.where(F.col("df") >= MIN_DOCUMENTS).select("lang", "term", "c")
-    v = kept.groupBy("lang").agg(F.count("*").alias("v"))
-    found = counts.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "count")
-    n = found.groupBy("lang", "source").agg(F.sum("count").alias("n"))
+    terms = kept.groupBy("lang", "term").agg(F.sum("count").alias("c"), F.collect_list(F.struct("source", "count")).alias("at"))
+    terms = stored(terms, "term-counts")
+    v = terms.groupBy("lang").agg(F.count("*").alias("v"))
+    n = terms.select("lang", F.inline("at")).groupBy("lang", "source").agg(F.sum("count").alias("n"))
     names = df.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")).distinct()
     # a language's sources are few: numbered in one window per language
     g = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
@@ -91,13 +126,15 @@ def profiles(df: DataFrame, text_col: str = "text"):
         "lang", "source", g.alias("g"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("v")
     )
     groups = small_side(groups.withColumn("z", F.when(F.col("v") > 0, _p(F.lit(0), F.col("n"), F.col("v")))), "groups")
-    langs = groups.groupBy("lang").agg(F.sum("n").alias("n"), F.max("v").alias("v"), F.array_sort(F.collect_list(F.struct("g", "z"))).alias("zs"))
-    langs = small_side(langs.select("lang", "n", "v", F.col("zs.z").alias("zs")), "langs")
-    postings = found.join(groups.select("lang", "source", "g", "n", "v", "z"), ["lang", "source"]).select(
-        "lang", "source", "g", "term", "count", _p(F.col("count"), F.col("n"), F.col("v")).alias("p"), "z"
-    )
-    lang_p = kept.join(langs.select("lang", "n", "v"), "lang").select("lang", "term", _p(F.col("c"), F.col("n"), F.col("v")).alias("q"))
-    return groups, langs, postings, lang_p
+    langs = groups.groupBy("lang").agg(F.sum("n").alias("n"), F.max("v").alias("v"), F.array_sort(F.collect_list(F.struct("g", "source", "n", "z"))).alias("zs"))
+    langs = small_side(langs.select("lang", "n", "v", F.col("zs.z").alias("zs"), F.col("zs.source").alias("sources"), F.col("zs.n").alias("ns")), "langs")
+
+    def place(x):
+        g = (F.array_position("sources", x["source"]) - 1).cast("int")
+        return F.struct(g.alias("g"), _p(x["count"], F.get("ns", g), F.col("v")).alias("p"))
+
+    index = terms.join(langs, "lang").select("lang", "term", _p(F.col("c"), F.col("n"), F.col("v")).alias("q"), F.transform("at", place).alias("at"))
+    return groups, langs, stored(index, "term-index")
 
 
 def _fn(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -117,19 +154,19 @@ def _accumulate(batches):
             take = np.flatnonzero(langs == lang)
             zs = np.asarray(cols["zs"][int(take[0])].as_py(), np.int64)
             mat = acc.setdefault(lang, np.zeros((len(zs), len(zs)), np.int64))
-            g = cols["g"].to_numpy(zero_copy_only=False)[take].astype(np.int64)
-            p = cols["p"].to_numpy(zero_copy_only=False)[take].astype(np.int64)
             at = pa.array(cols["at"].take(pa.array(take)))
+            g, p = (np.asarray(at.values.field(c), np.int64) for c in ("g", "p"))
+            rows = np.repeat(np.arange(len(take)), np.diff(np.asarray(at.offsets)))
             # the index rows with the peers' baselines filled in
             dense = np.broadcast_to(zs, (len(take), len(zs))).copy()
-            sizes = np.diff(np.asarray(at.offsets))
-            rows = np.repeat(np.arange(len(take)), sizes)
-            dense[rows, np.asarray(at.values.field("g"), np.int64)] = np.asarray(at.values.field("p"), np.int64)
-            z = zs[g]
-            # row scatter: the group's own terms against every peer
-            np.add.at(mat, g, _fn(p[:, None], dense) - _fn(z[:, None], dense))
-            # baseline correction: this posting seen by every peer with count 0 there
-            np.add.at(mat.T, g, _fn(zs[None, :], p[:, None]) - _fn(zs[None, :], z[:, None]))
+            dense[rows, g] = p
+            for lo in range(0, len(g), _ROWS):
+                gs, ps, peers = g[lo : lo + _ROWS], p[lo : lo + _ROWS, None], dense[rows[lo : lo + _ROWS]]
+                z = zs[gs][:, None]
+                # row scatter: the group's own terms against every peer
+                np.add.at(mat, gs, _fn(ps, peers) - _fn(z, peers))
+                # baseline correction: this posting seen by every peer with count 0 there
+                np.add.at(mat.T, gs, _fn(zs[None, :], ps) - _fn(zs[None, :], z))
     names, gs, rows_out = [], [], []
     for lang, mat in acc.items():
         for g in range(mat.shape[0]):
@@ -141,11 +178,10 @@ def _accumulate(batches):
     )
 
 
-def pair_sums(groups: DataFrame, langs: DataFrame, postings: DataFrame) -> DataFrame:
+def pair_sums(groups: DataFrame, langs: DataFrame, index: DataFrame) -> DataFrame:
     """``lang, g, s, value``: f summed over all kept terms for every ordered pair of groups of a language."""
-    index = postings.groupBy("lang", "term").agg(F.collect_list(F.struct("g", "p")).alias("at"))
-    rows = postings.select("lang", "term", "g", "p").join(index, ["lang", "term"]).join(langs.select("lang", "zs"), "lang")
-    parts = rows.select("lang", "g", "p", "at", "zs").mapInArrow(_accumulate, "lang string, g long, acc array<long>")
+    rows = index.join(langs.select("lang", "zs"), "lang").select("lang", "at", "zs")
+    parts = rows.mapInArrow(_accumulate, "lang string, g long, acc array<long>")
     spread = parts.select("lang", "g", F.posexplode("acc").alias("s", "value"))
     sums = spread.groupBy("lang", "g", "s").agg(F.sum("value").alias("value"))
     # every pair, from the baselines of the language, whether or not it has postings
@@ -160,12 +196,12 @@ def pair_sums(groups: DataFrame, langs: DataFrame, postings: DataFrame) -> DataF
 
 def audit(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``lang, source, part, item, value, rank``: both parts for every group."""
-    groups, langs, postings, lang_p = profiles(df, text_col)
-    sums = pair_sums(groups, langs, postings)
+    groups, langs, index = profiles(df, text_col)
+    sums = pair_sums(groups, langs, index)
     named = groups.select("lang", "g", "source")
     other = groups.select("lang", F.col("g").alias("s"), F.col("source").alias("item"))
     pair = sums.join(named, ["lang", "g"]).join(other, ["lang", "s"]).select("lang", "source", F.lit("pair").alias("part"), "item", "value")
-    used = postings.join(lang_p, ["lang", "term"]).where(F.col("p") > F.col("q"))
+    used = index.select("lang", "term", "q", F.inline("at")).where(F.col("p") > F.col("q")).join(named, ["lang", "g"])
     term = used.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), _f(F.col("p"), F.col("q")).cast("bigint").alias("value"))
     order = Window.partitionBy("lang", "source", "part").orderBy(F.col("value").desc(), F.col("item"))
     pair = pair.withColumn("rank", F.row_number().over(order))

@@ -74,3 +74,28 @@ def test_language_without_kept_terms(spark):
 
 def test_empty(spark):
     assert A.audit(spark.createDataFrame([], "text string, lang string, source string")).count() == 0
+
+
+def test_terms_are_counted_before_they_are_dealt_out(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(A, "_HELD", 5)
+    rows = [(t or "", lang or "", source or "") for t, lang, source in corpus()]
+    texts, langs, sources = zip(*rows, strict=True)
+    table = pa.table({"lang": langs, "source": sources, "t": texts})
+    made = [r for b in A._tally(table.to_batches(max_chunksize=40)) for r in b.to_pylist()]
+    occurrences, documents = Counter(), Counter()
+    for r in made:
+        occurrences[r["lang"], r["source"], r["term"]] += r["count"]
+        documents[r["lang"], r["source"], r["term"]] += r["documents"]
+    want, want_documents = Counter(), Counter()
+    for t, lang, source in rows:
+        w = [(lang, source, x) for x in TERM.findall(t.translate(str.maketrans(A._UPPER, A._UPPER.lower())))]
+        want.update(w)
+        want_documents.update(set(w))
+    assert occurrences == want and documents == want_documents
+    assert len(want) < len(made) < sum(want.values()) / 2
+    # one exchange serves the counts and all that is done by term
+    df = spark.createDataFrame(corpus(), "text string, lang string, source string")
+    plan = A.term_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Generate" not in plan, plan
