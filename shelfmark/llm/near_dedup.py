@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import vector as V
@@ -49,6 +49,8 @@ SKETCHES = 24
 # leaders of a bucket in the round after the first, and how many times as many in each further one
 LEADERS, MORE = 16, 8
 _PLACE_BITS = 28
+# table of counts by which words are ranked: rows, and bits of a cell's number in each
+CELL_ROWS, CELL_BITS = 2, 16
 
 _U = np.uint64
 
@@ -202,33 +204,76 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(kept, "bucket").withColumn("out", F.col("label") != F.col("main")).drop("main")
 
 
+def _words(column) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each text, each with its number among equal ones of the text, and where each text begins."""
+    raw, at = V.string_buffers(column)
+    starts, ends, first = V.word_bounds(raw, at)
+    return _numbered(V.word_hashes(raw, starts, ends), np.repeat(np.arange(len(first) - 1), np.diff(first))), first
+
+
+def _cells(words: np.ndarray) -> list[np.ndarray]:
+    """The cell of each word in each row of the table of counts."""
+    return [(V.mixed(words ^ _U(row + 1)) >> _U(64 - CELL_BITS)).astype(np.int64) + (row << CELL_BITS) for row in range(CELL_ROWS)]
+
+
+def word_counts(docs: DataFrame) -> np.ndarray:
+    """How often each cell is met in the texts ``t`` (a fixed number of cells, whatever the table's size)."""
+
+    def tally(batches):
+        total = np.zeros(CELL_ROWS << CELL_BITS, np.int64)
+        for whole in batches:
+            for batch in parts(whole, "t"):
+                for cells in _cells(_words(batch["t"])[0]):
+                    total += np.bincount(cells, minlength=len(total))
+        met = np.flatnonzero(total)
+        yield pa.record_batch({"cell": pa.array(met, pa.int64()), "n": pa.array(total[met], pa.int64())})
+
+    counts = np.zeros(CELL_ROWS << CELL_BITS, np.int64)
+    for cell, n in docs.select("t").mapInArrow(tally, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n")).collect():
+        counts[cell] = n
+    return counts
+
+
+def rarest(column, counts: np.ndarray, similarity: float) -> tuple[np.ndarray, ...]:
+    """Number of the text, its words, word and place of the ``floor((1 - similarity) * words) + 1`` rarest words of each text."""
+    words, first = _words(column)
+    size = np.diff(first)
+    owner = np.repeat(np.arange(len(size)), size)
+    often = np.min([counts[cells] for cells in _cells(words)], axis=0)
+    order = np.lexsort((words, often, owner))
+    place = np.arange(len(words)) - first[:-1][owner]
+    keep = place <= np.floor((1 - similarity) * size + 1e-9)[owner]
+    return owner[keep], size[owner[keep]], words[order][keep], place[keep]
+
+
 def _rare_words(docs: DataFrame, open_: DataFrame, similarity: float) -> DataFrame:
     """``id, size, word, place`` of the rarest words of each node of ``open_``: two linked texts share one of them.
 
-    A word (with its number among equal ones of the text) is the rarer the fewer
-    of these texts have it; ``place`` counts in that order from 0. Words of one
-    text alone stand first and are left out.
+    A word (with its number among equal ones of the text) is the rarer the
+    lower its count in a table of cells; ``place`` counts in that order from 0.
+    Any one order for all texts rules out only pairs that cannot be linked, so
+    words that share a cell cost pairs tried, never links, and only the rarest
+    words of a text are ever shuffled. Those that no other text has among its
+    rarest are left out.
     """
+    counts = word_counts(docs)
 
     def split(batches):
         for whole in batches:
             for batch in parts(whole, "t"):
-                raw, at = V.string_buffers(batch["t"])
-                starts, ends, first = V.word_bounds(raw, at)
-                size = np.diff(first)
-                named = _numbered(V.word_hashes(raw, starts, ends), np.repeat(np.arange(len(size)), size))
-                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(named.view(np.int64), pa.int64()))
-                yield pa.record_batch({"id": batch["id"], "size": pa.array(size, pa.int64()), "text": batch["text"], "words": lists})
-
-    texts = docs.join(open_.select("id").distinct(), "id", "left_semi").select("id", F.xxhash64("t").alias("text"), "t")
-    texts = stored(texts.mapInArrow(split, "id bigint, size bigint, text bigint, words array<bigint>"), "words")
-    each = texts.select("id", "size", "text", F.explode("words").alias("word"))
-    common = each.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
-    text = Window.partitionBy("id", "size", "text")
-    # rows may repeat: equal words of one text have one rank
-    ranked = each.join(common, "word").withColumn("rank", F.dense_rank().over(text.orderBy("n", "word")))
-    ranked = ranked.withColumn("place", F.col("size") - F.max("rank").over(text) + F.col("rank") - 1)
-    return stored(ranked.where(F.col("place") <= F.floor(F.lit(1 - similarity) * F.col("size") + 1e-9)).select("id", "size", "word", "place").distinct(), "rare")
+                owner, size, word, place = rarest(batch["t"], counts, similarity)
+                yield pa.record_batch(
+                    {
+                        "id": batch["id"].take(pa.array(owner, pa.int64())), "size": pa.array(size, pa.int64()),
+                        "word": pa.array(word.view(np.int64), pa.int64()), "place": pa.array(place, pa.int64()),
+                    }
+                )
+
+    texts = docs.join(open_.select("id").distinct(), "id", "left_semi").select("id", "t")
+    # rows may repeat
+    each = stored(texts.mapInArrow(split, "id bigint, size bigint, word bigint, place bigint"), "rare-all")
+    common = each.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").select("word")
+    return stored(each.join(common, "word", "left_semi").distinct(), "rare")
 
 
 def near_classes(
