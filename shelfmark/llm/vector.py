@@ -22,18 +22,30 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _BYTE = mixed(np.arange(1, 257, dtype=_U))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, _U)
+    out[:1] = 1
+    return np.cumprod(out, out=out)
+
+
 class _Powers:
-    """Powers of the odd base and of its inverse modulo 2**64, extended on demand."""
+    """Powers of the odd base and of its inverse modulo 2**64, extended on demand.
+
+    A worker outlives its tasks, so it keeps at most ``KEPT`` of each; longer tables last for one call.
+    """
+
+    KEPT = (1 << 20) + (1 << 16)
 
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, _U)
+        self.up = self.down = _powers(1, 1)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            inverse = _U(pow(int(_BASE), -1, 1 << 64))
-            size = 1 << max(16, n.bit_length())
-            self.up = np.cumprod(np.concatenate([np.ones(1, _U), np.full(size, _BASE)]))
-            self.down = np.cumprod(np.concatenate([np.ones(1, _U), np.full(size, inverse)]))
+            size = n if n > self.KEPT else min(self.KEPT, 1 << max(16, n.bit_length()))
+            made = _powers(int(_BASE), size), _powers(pow(int(_BASE), -1, 1 << 64), size)
+            if size > self.KEPT:
+                return made
+            self.up, self.down = made
         return self.up, self.down
 
 
