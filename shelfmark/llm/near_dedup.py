@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm import vector as V
-from shelfmark.llm.common import query, stored, table
+from shelfmark.llm.common import query, small_side, stored, table
 from shelfmark.llm.word_ids import parts
 
 SHINGLE = 3
@@ -48,6 +48,8 @@ SIMILARITY = 0.8
 SKETCHES = 24
 # leaders of a bucket in the round after the first, and how many times as many in each further one
 LEADERS, MORE = 16, 8
+# rare words before a word that are looked at to see whether a pair has met there
+BEFORE = 4
 _PLACE_BITS = 28
 
 _U = np.uint64
@@ -152,7 +154,8 @@ def _alike(one: pa.Array, two: pa.Array, similarity: float) -> list[bool]:
 
 
 def linked(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose texts are near; ``docs`` is ``id, t``."""
+    """The pairs ``a, b`` of nodes whose texts are near; ``docs`` is ``id, t``. Only texts of pairs are moved."""
+    docs = docs.join(small_side(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids"), "id", "left_semi")
     left = docs.select(F.col("id").alias("a"), F.col("t").alias("ta"))
     right = docs.select(F.col("id").alias("b"), F.col("t").alias("tb"))
     both = pairs.join(right, "b").join(left, "a")
@@ -202,8 +205,8 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(kept, "bucket").withColumn("out", F.col("label") != F.col("main")).drop("main")
 
 
-def _rare_words(docs: DataFrame, open_: DataFrame, similarity: float) -> DataFrame:
-    """``id, size, word, place`` of the rarest words of each node of ``open_``: two linked texts share one of them.
+def _rare_words(docs: DataFrame, similarity: float) -> DataFrame:
+    """``id, size, rare``: (place, word) of the rarest words of each text; two linked texts share one of them.
 
     A word (with its number among equal ones of the text) is the rarer the fewer
     of these texts have it; ``place`` counts in that order from 0. Words of one
@@ -212,23 +215,59 @@ def _rare_words(docs: DataFrame, open_: DataFrame, similarity: float) -> DataFra
 
     def split(batches):
         for whole in batches:
-            for batch in parts(whole, "t"):
+            for batch in parts(whole, "t", 1 << 20):
                 raw, at = V.string_buffers(batch["t"])
                 starts, ends, first = V.word_bounds(raw, at)
                 size = np.diff(first)
                 named = _numbered(V.word_hashes(raw, starts, ends), np.repeat(np.arange(len(size)), size))
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(named.view(np.int64), pa.int64()))
-                yield pa.record_batch({"id": batch["id"], "size": pa.array(size, pa.int64()), "text": batch["text"], "words": lists})
+                yield pa.record_batch({"node": batch["node"], "id": batch["id"], "size": pa.array(size, pa.int64()), "words": lists})
 
-    texts = docs.join(open_.select("id").distinct(), "id", "left_semi").select("id", F.xxhash64("t").alias("text"), "t")
-    texts = stored(texts.mapInArrow(split, "id bigint, size bigint, text bigint, words array<bigint>"), "words")
-    each = texts.select("id", "size", "text", F.explode("words").alias("word"))
+    # numbers written once; small ones are cheap to move
+    texts = docs.select(F.monotonically_increasing_id().alias("node"), "id", "t")
+    texts = stored(texts.mapInArrow(split, "node bigint, id bigint, size bigint, words array<bigint>"), "words")
+    each = texts.select("node", "size", F.explode("words").alias("word"))
     common = each.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
-    text = Window.partitionBy("id", "size", "text")
-    # rows may repeat: equal words of one text have one rank
+    text = Window.partitionBy("node", "size")
     ranked = each.join(common, "word").withColumn("rank", F.dense_rank().over(text.orderBy("n", "word")))
     ranked = ranked.withColumn("place", F.col("size") - F.max("rank").over(text) + F.col("rank") - 1)
-    return stored(ranked.where(F.col("place") <= F.floor(F.lit(1 - similarity) * F.col("size") + 1e-9)).select("id", "size", "word", "place").distinct(), "rare")
+    ranked = ranked.where(F.col("place") <= F.floor(F.lit(1 - similarity) * F.col("size") + 1e-9))
+    lists = ranked.groupBy("node", "size").agg(F.array_sort(F.collect_set(F.struct("place", "word"))).alias("rare"))
+    return stored(lists.join(texts.select("node", "id"), "node").select("id", "size", "rare"), "rare")
+
+
+def _spots(members: DataFrame, rare: DataFrame) -> DataFrame:
+    """A row for each bucket and rare word of a node: ``bucket, word, id, label, size, place``, and what stands before them.
+
+    ``buckets``: smaller ones of the node among ``members``; ``words``: the ``BEFORE`` rare ones before the word.
+    """
+    nodes = members.groupBy("id", "size").agg(F.min("label").alias("label"), F.array_sort(F.collect_set("bucket")).alias("all"))
+    rows = nodes.join(rare, ["id", "size"]).select("id", "size", "label", "all", "rare", F.posexplode("all").alias("k", "bucket"))
+    rows = rows.select("id", "size", "label", "bucket", F.slice("all", F.lit(1), F.col("k")).alias("buckets"), "rare", F.posexplode("rare").alias("i", "x"))
+    start = F.greatest(F.col("i") - BEFORE, F.lit(0))
+    return rows.select("bucket", "x.word", "id", "label", "size", "x.place", "buckets", F.slice(F.col("rare.word"), start + 1, F.col("i") - start).alias("words"))
+
+
+def _fits(similarity: float):
+    """Most edits of a pair, and whether its lengths allow a link."""
+    most = F.floor(F.lit(1 - similarity) * F.greatest("size", "size2") + 1e-9)
+    return most, F.abs(F.col("size") - F.col("size2")) <= most
+
+
+def _met(members: DataFrame, leaders: DataFrame, rare: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: members and leaders of other components that may be linked, met on a bucket and a rare word.
+
+    A pair that shares what stands before has met there, so it comes once, or again only
+    after ``BEFORE`` words that it does not share.
+    """
+    most, fits = _fits(similarity)
+    # words before the first common one are in no other text of the pair
+    common = F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2")) >= F.greatest("size", "size2") - most
+    new = ~F.arrays_overlap("buckets", "buckets2") & ~F.arrays_overlap("words", "words2")
+    two = _spots(leaders, rare)
+    two = two.select("bucket", "word", *[F.col(c).alias(c + "2") for c in ("id", "label", "size", "place", "buckets", "words")])
+    met = _spots(members, rare).join(two, ["bucket", "word"])
+    return met.where((F.col("label") != F.col("label2")) & fits & common & new).select(*_pairs("id", "id2"))
 
 
 def near_classes(
@@ -247,7 +286,7 @@ def near_classes(
 
     def sketch(batches):
         for whole in batches:
-            for batch in parts(whole, "t"):
+            for batch in parts(whole, "t", 1 << 20):
                 n_words = None
                 # the shortest text that a text of SHORT + 1 words can be near has windows as well
                 for length, low, high in ((shingle, int((SHORT + 1) * similarity), None), (1, 1, SHORT)):
@@ -261,9 +300,11 @@ def near_classes(
     nodes = copies.where("id = text_id").select("id").distinct()
     found = rows.where("id is not null").mapInArrow(sketch, "id bigint, size bigint, found array<bigint>").join(nodes, "id", "left_semi")
     members = stored(found.select("id", "size", F.explode("found").alias("bucket")).distinct(), "buckets")
-    most = F.floor(F.lit(1 - similarity) * F.greatest("size", "size2") + 1e-9)
-    fits = F.abs(F.col("size") - F.col("size2")) <= most
-    lead = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "id").alias("draw"), "id", "size")).alias("lead"), F.count("*").alias("n")).where("n > 1")
+    several = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    # most buckets hold one node
+    members = stored(members.join(small_side(several, "several"), "bucket", "left_semi"), "shared")
+    _, fits = _fits(similarity)
+    lead = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "id").alias("draw"), "id", "size")).alias("lead"))
     lead = lead.select("bucket", F.col("lead.id").alias("id2"), F.col("lead.size").alias("size2"))
     pairs = members.join(lead, "bucket").where((F.col("id") != F.col("id2")) & fits).select(*_pairs("id", "id2")).distinct()
     docs = rows.where("id is not null and t is not null")
@@ -273,14 +314,12 @@ def near_classes(
     share = F.shiftrightunsigned(F.xxhash64(F.lit("lead"), "bucket", "id"), 11) / F.lit(float(1 << 53))
     drawn = LEADERS
     open_ = stored(_open(members, labels), "open")
-    rare = _rare_words(docs, open_, similarity)
-    # words before the first common one are in no other text of the pair
-    common = F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2")) >= F.greatest("size", "size2") - most
+    # all that follows stays among the nodes that are open now
+    docs = stored(docs.join(small_side(open_.select("id").distinct(), "ids"), "id", "left_semi"), "open-texts")
+    rare = _rare_words(docs, similarity)
     while open_.limit(1).count():
-        leaders = open_.where(F.col("out") & (share * F.col("n_out") < drawn)).join(rare, ["id", "size"])
-        leaders = leaders.select("bucket", "word", *[F.col(c).alias(c + "2") for c in ("id", "label", "size", "place")])
-        met = open_.join(rare, ["id", "size"]).join(leaders, ["bucket", "word"])
-        pairs = met.where((F.col("label") != F.col("label2")) & fits & common).select(*_pairs("id", "id2")).distinct()
+        leaders = open_.where(F.col("out") & (share * F.col("n_out") < drawn))
+        pairs = _met(open_, leaders, rare, similarity).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.union(pairs)
         more = stored(linked(pairs, docs, similarity), "links")

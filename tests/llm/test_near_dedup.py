@@ -156,3 +156,28 @@ def test_unlike_texts_of_a_hot_bucket_do_not_meet(spark, monkeypatch):
     assert got == {i: 7 if i == 500 else i for i, _ in rows}
     # the leaders of the first round meet every member; after that only words decide
     assert sum(tried[1:]) <= 400, tried
+
+
+def test_a_pair_meets_once(spark):
+    from shelfmark.llm import near_dedup
+
+    r = random.Random(23)
+    base = [f"w{i}" for i in range(60)]
+    # every two texts are all but near, so they share many buckets and many of their rarest words
+    docs = spark.createDataFrame([(i, " ".join(edited(r, base, 0.12))) for i in range(60)], "id long, t string")
+    rare = near_dedup._rare_words(docs, 0.8)
+    members = rare.select("id", "size", rare.id.alias("label")).crossJoin(spark.range(12).withColumnRenamed("id", "bucket"))
+    # a leader leads in some of its buckets only
+    leaders = members.where("(id + bucket) % 5 = 0")
+    words = {x.id: ({y.word: y.place for y in x.rare}, x.size) for x in rare.collect()}
+    got = [(x.a, x.b) for x in near_dedup._met(members, leaders, rare, 0.8).collect()]
+    want = set()
+    for i in words:
+        for j in range(i):
+            (one, m), (two, n) = words[i], words[j]
+            most = int(0.2 * max(m, n) + 1e-9)
+            if abs(m - n) <= most and any(min(m - one[w], n - two[w]) >= max(m, n) - most for w in one.keys() & two.keys()):
+                want.add((j, i))
+    assert set(got) == want and len(want) > 300
+    # both may lead, in two buckets; before, a pair came for each bucket and word
+    assert len(got) <= 3 * len(want), (len(got), len(want))
