@@ -18,11 +18,11 @@ keeps for its unseen words the probability they have one order lower
 (``alpha = 1``) and shares the rest, ``sum_S P(w|h')``, among ``S`` in
 proportion to the counts.
 
-The model lives in tables keyed by n-gram (probabilities of seen trigrams and
-bigrams, weights of their histories, unigram probabilities), written once to
-the shared folder. Each distinct trigram of the scored texts is evaluated
-once, recursively down the orders, by joins with these tables; the values
-are joined back to the texts' tokens and summed per text (log10).
+Texts are scored by :mod:`ngram_shards`: each block of texts asks for its distinct
+trigrams, counts climb from shards of trigrams to shards of bigrams and of words,
+and probabilities come back down the orders (log10, summed per text).
+:func:`model` and :func:`evaluate` give the same model as tables keyed by n-gram,
+for those who want to look at it or at single trigrams.
 
 Cases: a null text is empty (only the end token); null or repeated ids and
 repeated rows are scored each on their own; very long texts are scored whole;
@@ -33,11 +33,15 @@ one named ``_row``, which is dropped.
 from __future__ import annotations
 
 import math
+import pickle
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfmark.llm.common import SPACES, query, stored, table
+from shelfmark.llm import ngram_shards
+from shelfmark.llm.common import SPACES, query, stored, table, text_bytes
 
 # fixed values: order of the model, largest count Katz discounts, the additive constant of the bottom distribution
 ORDER = 3
@@ -45,6 +49,9 @@ MAX_DISCOUNTED = 5
 ADD = 0.1
 # a begin marker and the end token: neither can be a word
 BEGIN, END = " ", ""
+# bytes of text to a shard, and to one of the first so many shards: more of them would mean smaller rows
+SHARD_BYTES = 24 << 20
+FEW_BYTES, FEW = 8 << 20, 128
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -72,7 +79,11 @@ def held_out(doc_id: Column) -> Column:
 def discounts(counts: DataFrame, col: str) -> list[float]:
     """Katz's Good-Turing discount of each count 1 to ``MAX_DISCOUNTED`` (index 0 unused)."""
     rows = counts.where(F.col(col) <= MAX_DISCOUNTED + 1).groupBy(col).count().collect()
-    n = {r[0]: r[1] for r in rows}
+    return good_turing({r[0]: r[1] for r in rows})
+
+
+def good_turing(n: dict[int, int]) -> list[float]:
+    """The discounts, from the n-grams seen once, twice and so on."""
     out = [1.0] * (MAX_DISCOUNTED + 1)
     n1 = n.get(1, 0)
     if n1 == 0:
@@ -149,23 +160,37 @@ def evaluate(grams: DataFrame, m: dict) -> DataFrame:
     return found.select("u", "v", "w", three.alias("lp"), base.alias("base"), F.col("lp1").isNotNull().cast("long").alias("known"))
 
 
-def score(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``df`` with ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (columns of these names are replaced)."""
+def _repeatable(df: DataFrame) -> bool:
+    """Whether a second run gives the same rows in the same order to the same tasks: files, columns and conditions only."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter") and plan.deterministic():
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation" or plan.nodeName().startswith("Relation")
+
+
+def score(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", keep_text: bool = True) -> DataFrame:
+    """``df`` with ``held_out``, ``n_tokens``, ``n_known``, ``base_score``, ``score``, ``train_tokens`` (columns of these names are replaced); without the text if ``keep_text`` is false."""
+    spark = df.sparkSession
     names = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    rows = df.drop(*names, "_row").withColumn("held_out", held_out(F.col(id_col)))
-    # numbers written once, so that a retry or a second read keeps them
-    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "lm-texts")
-    grams = trigrams(rows, text_col, "_row", "held_out")
-    m = model(grams.where(~F.col("held_out")).select("u", "v", "w"))
-    values = stored(evaluate(grams.select("u", "v", "w").distinct(), m), "lm-values")
-    sums = grams.join(values, ["u", "v", "w"]).groupBy("_row").agg(
-        F.count("*").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("lp").alias("score")
-    )
-    out = rows.join(sums, "_row", "left").withColumn("train_tokens", F.lit(m["n"]).cast("bigint"))
-    return out.drop("_row")
+    rows = df.drop(*names, "_row")
+    # a block must hold the same texts whenever it is read
+    rows = rows if _repeatable(rows) else stored(rows, "lm-texts")
+    kept = [f for f in rows.schema.fields if keep_text or f.name != text_col]
+    size = text_bytes(rows, text_col)
+    shards = max(1, min(size // (FEW_BYTES // 8), spark.sparkContext.defaultParallelism), min(FEW, size // FEW_BYTES), -(-size // SHARD_BYTES))
+    texts = rows.select(*(F.col("`" + f.name.replace("`", "``") + "`") for f in kept), F.col(text_col).alias("_text"), held_out(F.col(id_col)).alias("_held"))
+    read = partial(ngram_shards.read_blocks, shards=shards, n_kept=len(kept))
+    blocks = texts.mapInArrow(read, "key bigint, row binary").rdd.map(lambda r: (r[0], pickle.loads(r[1])))
+    most = MAX_DISCOUNTED + 1
+    scored, n = ngram_shards.katz(blocks, shards, most, ADD, lambda seen: good_turing(dict(enumerate(seen))))
+    more = [("held_out", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType())]
+    schema = T.StructType([*kept, *(T.StructField(*f) for f in more)])
+    streams = spark.createDataFrame(scored.map(lambda data: (data,)), "data binary", verifySchema=False)
+    out = streams.mapInArrow(partial(ngram_shards.read_streams, names=schema.names), schema)
+    return out.withColumn("train_tokens", F.lit(n).cast("bigint"))
 
 
 @query("op12_lm_scoring")
 def op12_lm_scoring(spark, sf_dir) -> DataFrame:
-    scored = score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scored = score(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -123,3 +123,18 @@ def test_normalised(spark):
 
 def test_empty(spark):
     assert L.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_as_tables(spark):
+    """Scores are those of the model's tables, and only packed rows are shuffled: no exchange has a row per token."""
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", L.held_out(L.F.col("doc_id")))
+    grams = L.trigrams(df, "text", "held_out").select("u", "v", "w", "held_out")
+    m = L.model(grams.where(~L.F.col("held_out")).select("u", "v", "w"))
+    values = L.evaluate(grams.select("u", "v", "w").distinct(), m)
+    want = grams.join(values, ["u", "v", "w"]).agg(L.F.count("*"), L.F.sum("known"), L.F.sum("base"), L.F.sum("lp")).first()
+    scored = L.score(df)
+    got = scored.agg(L.F.sum("n_tokens"), L.F.sum("n_known"), L.F.sum("base_score"), L.F.sum("score")).first()
+    assert close(tuple(got), tuple(want))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Exchange" not in plan
